@@ -12,18 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cedarloom.functions import instants as I
+from cedarloom.functions.rows import once
 
 ZONE = "America/Toronto"
 
 
-def once(df: DataFrame, /, **made: str) -> DataFrame:
-    """Adds columns, given as SQL, that are computed once a row: the optimizer moves nothing across
-    a generator, so what reads them doesn't repeat their expressions."""
-    own = [f"`{c}`" for c in df.columns]
-    struct = ", ".join(f"{sql} as {k}" for k, sql in made.items())
-    return df.selectExpr(*own, f"explode(array(struct({struct}))) as _made").selectExpr(*own, *[f"_made.{k} as {k}" for k in made])
-
-
 def _readings(parsed: DataFrame, orders: dict[str, tuple[str, str]]) -> DataFrame:
     """For each named order of month and day a struct(utc, status)."""
     at = once(

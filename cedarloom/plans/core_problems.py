@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cedarloom.io import table
+from cedarloom.io import cut, table
 from cedarloom.operators.instants import long_values, normalise_instants
+from cedarloom.operators.nearby import Tree, pairs_within, points_in_regions, stated_points
 
 TIME_FIELDS = [
     ("shelter_occupancy", "occ_id", ["occupancy_date"]),
@@ -25,8 +26,21 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _times(spark, sf_dir).where("utc_us is not null").select("table_name", "rec_id", "field_name", "utc_us")
 
 
+# All true points lie in this box (south, north, west, east).
+BOX = (43.0, 45.7, -83.0, -78.0)
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = cut(stated_points(table(spark, sf_dir, "assets"), BOX), "points")
+    tree = Tree(points)
+    near = pairs_within(tree, 30.0).selectExpr("id_a as asset_id", "'asset' as other_kind", "id_b as other_id")
+    regions = table(spark, sf_dir, "districts").selectExpr("district_id as region_id", "geometry")
+    held = points_in_regions(tree, regions).selectExpr("id as asset_id", "'district' as other_kind", "region_id as other_id")
+    return near.unionByName(held)
+
+
 def queries() -> dict:
-    return {"p6_found": p6_found}
+    return {"p1_found": p1_found, "p6_found": p6_found}
 
 
 def oracle_sql() -> dict[str, str]:
