@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from cedarloom.io import cut, table
+from cedarloom.operators.drift import Drift, one_table
 from cedarloom.operators.instants import long_values, normalise_instants
 from cedarloom.operators.nearby import Tree, pairs_within, points_in_regions, stated_points
 
@@ -39,8 +40,17 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.unionByName(held)
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Drift(table(spark, sf_dir, "raw_records")).changes()
+
+
+def p5_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = table(spark, sf_dir, "raw_records")
+    return one_table(records, Drift(records))
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p6_found": p6_found}
+    return {"p1_found": p1_found, "p5_found": p5_found, "p5_table": p5_table, "p6_found": p6_found}
 
 
 def oracle_sql() -> dict[str, str]:
