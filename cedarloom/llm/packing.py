@@ -54,11 +54,12 @@ def packed(items: DataFrame, capacities: DataFrame, open_bins: int = OPEN_BINS,
     An item larger than the capacity is cut into full pieces, each a container of its own, and a
     rest that is packed like any item; no other item is cut. Items without tokens go where any room
     is. Repeated items are packed each. Capacities that are null or below 1 hold nothing. The table
-    of capacities is a parameter table, joined by broadcast behind the planner's own size check."""
+    of capacities is a parameter table, read here; its rows become part of the plan."""
     total = items.agg(F.sum("n_tokens")).first()[0] or 0
     streams = max(1, math.ceil(total / stream_tokens))
-    caps = capacities.where("capacity_tokens >= 1").select("capacity_id", F.col("capacity_tokens").cast("bigint").alias("cap"))
-    dealt = items.selectExpr("doc_id", "n_tokens", f"pmod(xxhash64(doc_id), {streams}) as stream", "1 as one").join(caps.withColumn("one", F.lit(1)), "one")
+    caps = [f"struct({r[0]} as capacity_id, {r[1]}L as cap)" for r in capacities.where("capacity_tokens >= 1").select("capacity_id", "capacity_tokens").collect()]
+    each = f"inline(array({', '.join(caps)}))" if caps else "inline(cast(array() as array<struct<capacity_id:int,cap:bigint>>))"
+    dealt = items.selectExpr("doc_id", "n_tokens", f"pmod(xxhash64(doc_id), {streams}) as stream", each)
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         capacity_id, stream, cap = (int(k) for k in key)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cedarloom.io import cut, table
+from cedarloom.llm.garble import judged
 from cedarloom.llm.mixing import mix_report, mixed
 from cedarloom.llm.packing import fill_report, packed
 from cedarloom.llm.survivors import survivors
@@ -36,6 +37,14 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(p8_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents")).select("doc_id")
+
+
+def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"), texts=True)
+
+
 def queries() -> dict:
     return {
         "p4_found": p4_found,
@@ -43,6 +52,8 @@ def queries() -> dict:
         "p7_fill": p7_fill,
         "p8_mix": p8_mix,
         "p8_shares": p8_shares,
+        "p9_found": p9_found,
+        "p9_restored": p9_restored,
     }
 
 
