@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cedarloom.io import cut, table
+from cedarloom.llm.addresses import same_address
 from cedarloom.llm.garble import judged
 from cedarloom.llm.mixing import mix_report, mixed
 from cedarloom.llm.packing import fill_report, packed
@@ -12,6 +13,10 @@ from cedarloom.llm.survivors import survivors
 from cedarloom.llm.tokens import sized
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return same_address(table(spark, sf_dir, "premises"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = survivors(table(spark, sf_dir, "resources"))
     return kept.selectExpr("keep_pos", "explode(map_concat(map('format', keep_pos), from_pos)) as (field_name, from_pos)")
@@ -47,6 +52,7 @@ def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "p2_found": p2_found,
         "p4_found": p4_found,
         "p7_containers": p7_containers,
         "p7_fill": p7_fill,
