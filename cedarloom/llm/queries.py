@@ -8,6 +8,7 @@ from cedarloom.io import cut, table
 from cedarloom.llm.addresses import same_address
 from cedarloom.llm.garble import judged
 from cedarloom.llm.mixing import mix_report, mixed
+from cedarloom.llm.names import same_name
 from cedarloom.llm.packing import fill_report, packed
 from cedarloom.llm.survivors import survivors
 from cedarloom.llm.tokens import sized
@@ -17,6 +18,10 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_address(table(spark, sf_dir, "premises"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return same_name(table(spark, sf_dir, "operators"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = survivors(table(spark, sf_dir, "resources"))
     return kept.selectExpr("keep_pos", "explode(map_concat(map('format', keep_pos), from_pos)) as (field_name, from_pos)")
@@ -53,6 +58,7 @@ def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "p2_found": p2_found,
+        "p3_found": p3_found,
         "p4_found": p4_found,
         "p7_containers": p7_containers,
         "p7_fill": p7_fill,
