@@ -244,8 +244,8 @@ def _spellings(names: DataFrame) -> DataFrame:
         when i = j then name else concat(left(name, i - 1), substr(name, i + 1, j - i - 1), substr(name, j + 1)) end))))"""
     each = names.where("length(name) >= 5").selectExpr("city", "name", "n", f"explode({cuts}) as form")
     rare, often = each, each.where("n >= 3").selectExpr("city", "name as canon", "n as canon_n", "form")
-    # a swap counts two here, so that three stand for a swap and another edit
-    near = rare.join(often, ["city", "form"]).where("canon_n >= 3 * n and name != canon and levenshtein(name, canon, 3) >= 0")
+    # a swap counts two here, so that two edits are four at most
+    near = rare.join(often, ["city", "form"]).where("canon_n >= 3 * n and name != canon and levenshtein(name, canon, 4) >= 0")
     near = near.select("city", "name", "n", "canon", "canon_n").distinct()
 
     @F.pandas_udf("int")
