@@ -97,8 +97,7 @@ class Parser:
     """cities: bare spelling to bare spelling of the localities known."""
 
     def __init__(self, cities: list[str]):
-        self.cities, self.known = {bare(c): bare(c) for c in cities}, {}
-        self.words = {bare(c): len(c.split()) for c in cities}
+        self.cities, self.known = {bare(fold(c)): bare(fold(c)) for c in cities}, {}
 
     def city(self, text: str | None, near: bool = True) -> str:
         """The locality a text names, by a typo or two; '' if none. An unknown one stays itself."""
@@ -229,7 +228,8 @@ def parsed(premises: DataFrame) -> DataFrame:
             for r in b.itertuples(index=False):
                 if p := parser.record([r.addr_full, r.address, r.shelter_address], r.city, r.postal_code):
                     rows.append((r.premise_id, *(p[f] for f in fields)))
-            yield pd.DataFrame(rows, columns=["premise_id", *fields])
+            if rows:
+                yield pd.DataFrame(rows, columns=["premise_id", *fields])
 
     own = premises.select("premise_id", "addr_full", "address", "shelter_address", "city", "postal_code")
     return own.mapInPandas(run, "premise_id bigint, " + ", ".join(f"{f} string" for f in fields))
@@ -325,7 +325,8 @@ def resolved(parts: DataFrame) -> DataFrame:
                     own = {k: w[k] for k in ("city", "kind", "dir", "postal")}
                     e = beam(own, entries, here) or (own["city"], own["kind"], own["dir"])
                     out.append((r.num, r.street, own["city"], own["kind"], own["dir"], own["postal"], "|".join((r.street, *e))))
-            yield pd.DataFrame(out, columns=[*sig, "street_id"])
+            if out:
+                yield pd.DataFrame(out, columns=[*sig, "street_id"])
 
     ids = groups.mapInPandas(run, ", ".join(f"{c} string" for c in sig) + ", street_id string")
     return at.join(ids, sig).select("premise_id", "street_id", "num")

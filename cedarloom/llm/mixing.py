@@ -44,7 +44,8 @@ def _solve(docs: DataFrame, goal: dict[str, float], cap: dict[str, float], mean:
             if step == tilt[s] or abs(step) > 1e6:
                 todo.discard(s)
             tilt[s] = step
-    return tilt
+    # nine digits: what is left does not depend on the order of the additions
+    return {s: float(f"{x:.9g}") for s, x in tilt.items()}
 
 
 def plan(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None) -> DataFrame:
@@ -74,15 +75,16 @@ def mixed(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None
     tokens are not taken. Equal documents (same doc_id) are taken each on its own."""
     rates = F.broadcast(plan(docs, targets, total_tokens))
     at = docs.where("n_tokens > 0").join(rates, "source").selectExpr(
-        "doc_id", "source", "n_tokens", "cap", "least(exp(least(tilt * n_tokens / mean, 700D)), cap) as rate", "cast(floor(log2(n_tokens) * 8) as int) as band", f"pmod(xxhash64(doc_id), {parts}) as part"
+        "doc_id", "source", "n_tokens", "cap", "cast(least(exp(least(tilt * n_tokens / mean, 700D)), cap) as decimal(20,9)) as rate", "cast(floor(log2(n_tokens) * 8) as int) as band", f"pmod(xxhash64(doc_id), {parts}) as part"
     )
     at = cut(at, "rates")
-    # running sum of the rates along size: over the bands and parts, then within each
+    # running sum of the rates along size: over the bands and parts, then within each; in decimals,
+    # so that it doesn't depend on the order of the additions
     cell = ["source", "band", "part"]
     sums = at.groupBy(*cell).agg(F.sum("rate").alias("s"))
     before = sums.selectExpr(*cell, "sum(s) over (partition by source order by band, part) - s as before")
     run = at.join(before, cell).selectExpr("doc_id", "source", "n_tokens", "cap", "rate", "before + sum(rate) over (partition by source, band, part order by n_tokens, doc_id rows unbounded preceding) as upto")
-    copies = "cast(least(floor(upto + 0.5D + 1e-9D) - floor(upto - rate + 0.5D + 1e-9D), cap) as int) as copies"
+    copies = "cast(least(floor(upto + 0.5) - floor(upto - rate + 0.5), cap) as int) as copies"
     return run.selectExpr("doc_id", "source", "n_tokens", "rate", copies).where("copies > 0")
 
 
