@@ -189,7 +189,8 @@ def region_nodes(regions: DataFrame) -> DataFrame:
         for batch in batches:
             for r in batch.itertuples(index=False):
                 rows = [(r.region_id, *node) for node in _walk(_edges(r.geometry))]
-                yield pd.DataFrame(rows, columns=["region_id", "nx", "ny", "mid", "edges"])
+                if rows:
+                    yield pd.DataFrame(rows, columns=["region_id", "nx", "ny", "mid", "edges"])
 
     return regions.select("region_id", "geometry").mapInPandas(walk, "region_id bigint, nx int, ny int, mid boolean, edges array<double>")
 

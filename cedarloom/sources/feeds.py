@@ -60,7 +60,8 @@ def feeds(pages: DataFrame) -> DataFrame:
                 p.feed(html if isinstance(html, str) else "")
                 for k, (href, title, kind, source) in enumerate(p.found):
                     rows.append((i, k, href, urljoin(base or "", href), " ".join(title.split()), kind, source))
-            yield pd.DataFrame(rows, columns=["page_id", "position", "href", "url", "title", "type", "source"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["page_id", "position", "href", "url", "title", "type", "source"])
 
     at = pages.select("page_id", "url", "html").mapInPandas(parse, "page_id bigint, position int, href string, url string, title string, type string, source string")
     return at.where(f"source = 'link_tag' or {is_feed('href')}").drop("href")

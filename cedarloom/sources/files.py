@@ -96,7 +96,8 @@ def read_xml(spark: SparkSession, path: str) -> DataFrame:
                     own = {bare(x.tag): (x.text or "").strip() for x in child} if len(child) else dict(child.attrib) | ({bare(child.tag): child.text.strip()} if (child.text or "").strip() else {})
                     if own:
                         rows.append((i, own))
-            yield pd.DataFrame(rows, columns=["position", "fields"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["position", "fields"])
 
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse, "position int, fields map<string,string>")
 

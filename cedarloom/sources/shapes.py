@@ -149,7 +149,8 @@ def read_shp(spark: SparkSession, path: str, project=None) -> DataFrame:
                     if g and project:
                         g = g | {"coordinates": move(g["coordinates"])}
                     rows.append((i, a, json.dumps(g) if g else None, g and g["type"], *centroid(g)))
-            yield pd.DataFrame(rows, columns=["position", "fields", "geometry", "geometry_type", "centroid_lat", "centroid_lon"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["position", "fields", "geometry", "geometry_type", "centroid_lat", "centroid_lon"])
 
     return pairs.mapInPandas(parse, "position int, fields map<string,string>, geometry string, geometry_type string, centroid_lat double, centroid_lon double")
 

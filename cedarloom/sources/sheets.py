@@ -182,6 +182,7 @@ def read_xlsx_sheets(spark: SparkSession, path: str, header: int | None = None)
                     except (ValueError, IndexError):
                         continue
                     rows += [(p, name, i, {k: str(v) for k, v in r.items() if v is not None}) for i, r in enumerate(t.to_dict("records"))]
-                yield pd.DataFrame(rows, columns=["source_file", "sheet", "position", "fields"])
+                if rows:
+                    yield pd.DataFrame(rows, columns=["source_file", "sheet", "position", "fields"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, "source_file string, sheet string, position int, fields map<string,string>")
