@@ -38,7 +38,9 @@ def encoding_of(path: str) -> str:
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str | None = None, infer: bool = True) -> DataFrame:
     """With header, types inferred, malformed lines dropped; empty fields are null."""
-    return spark.read.options(header=True, inferSchema=infer, sep=sep, mode="DROPMALFORMED", encoding=encoding or encoding_of(path)).csv(path)
+    enc = encoding or encoding_of(path)
+    # lines of UTF-16 can't be found before it is decoded: such files are not split
+    return spark.read.options(header=True, inferSchema=infer, sep=sep, mode="DROPMALFORMED", encoding=enc, multiLine=enc.startswith("utf-16")).csv(path)
 
 
 def json_structure(v: str) -> str:
