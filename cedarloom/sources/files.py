@@ -64,7 +64,7 @@ def record_list(v: str) -> str:
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """(source_file, structure, record VARIANT): one row a record, whatever the document's shape."""
-    docs = spark.read.option("wholetext", True).text(path).selectExpr("_metadata.file_name as source_file", "try_parse_json(value) as doc").where("doc is not null")
+    docs = spark.read.text(path, wholetext=True).selectExpr("_metadata.file_name as source_file", "try_parse_json(value) as doc").where("doc is not null")
     return docs.selectExpr("source_file", f"{json_structure('doc')} as structure", f"explode({record_list('doc')}) as record")
 
 
@@ -79,7 +79,7 @@ def flatten_features(records: DataFrame) -> DataFrame:
 
 def read_enriched(spark: SparkSession, path: str) -> DataFrame:
     """(source_file, dataset_id, position, record): files of the form {"_metadata", "records"}."""
-    docs = spark.read.option("wholetext", True).text(path).selectExpr("_metadata.file_name as source_file", "try_parse_json(value) as doc")
+    docs = spark.read.text(path, wholetext=True).selectExpr("_metadata.file_name as source_file", "try_parse_json(value) as doc")
     return docs.selectExpr("source_file", "try_variant_get(doc, '$._metadata.dataset_id', 'string') as dataset_id", f"posexplode({record_list('doc')}) as (position, record)")
 
 
@@ -124,7 +124,7 @@ def read_txt(spark: SparkSession, path: str, delimiter: str | None = None) -> Da
         df = df.toDF(*[column_name(c) for c in df.columns])
         filled = df.agg(*[F.count(f"`{c}`").alias(c) for c in df.columns]).first()
         return df.select(*[f"`{c}`" for c in df.columns if filled[c]])
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.selectExpr("posexplode(split(value, '\\r?\\n')) as (i, content)").where("trim(content) != ''").selectExpr("i + 1 as line_number", "trim(content) as content")
 
 

@@ -22,7 +22,7 @@ def test_csv_encodings(spark, tmp_path):
     ({"a": 1}, 1, "object"), ({"data": []}, 0, None), (5, 0, None), ({"type": "FeatureCollection", "features": [{"type": "Feature"}]}, 1, "geojson"),
 ])
 def test_json_shapes(spark, tmp_path, doc, n, kind):
-    (tmp_path / "d.json").write_text(json.dumps(doc))
+    (tmp_path / "d.json").write_text(json.dumps(doc, indent=1))
     rows = files.read_json(spark, str(tmp_path / "d.json")).selectExpr("structure", "to_json(record) as r").collect()
     assert len(rows) == n and (not n or rows[0]["structure"] == kind)
 
