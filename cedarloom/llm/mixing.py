@@ -69,11 +69,13 @@ def plan(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None)
     return spark.createDataFrame([(s, share[s], goal[s], tilt.get(s, 1e6), cap[s], mean[s]) for s in sorted(share)], schema)
 
 
-def mixed(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None, parts: int = 64) -> DataFrame:
+def mixed(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None, part_docs: int = 100_000) -> DataFrame:
     """(doc_id, source, n_tokens, rate, copies), the documents that are taken, copies >= 1 and at
     most the cap of the source. Documents of sources without a target, without a source, or without
     tokens are not taken. Equal documents (same doc_id) are taken each on its own."""
     rates = F.broadcast(plan(docs, targets, total_tokens))
+    # documents of one source and size are cut into parts, so that no window holds more than these
+    parts = max(64, docs.count() // part_docs)
     at = docs.where("n_tokens > 0").join(rates, "source").selectExpr(
         "doc_id", "source", "n_tokens", "cap", "cast(least(exp(least(tilt * n_tokens / mean, 700D)), cap) as decimal(20,9)) as rate", "cast(floor(log2(n_tokens) * 8) as int) as band", f"pmod(xxhash64(doc_id), {parts}) as part"
     )
