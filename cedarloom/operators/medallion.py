@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cedarloom.functions import classify as C
 from cedarloom.functions.names import silver_name
+from cedarloom.functions.rows import once
 from cedarloom.functions.rules import FALLBACK_FIELDS, ID_FIELDS, SEARCH_FIELDS
 from cedarloom.functions.values import BOOLEAN_FIELDS, is_null_marker
 
@@ -87,17 +88,46 @@ def silver(df: DataFrame, dataset: str, resource: str | None = None, title: str
     metadata of its name; `overrides` (name to SQL) replaces the metadata before."""
     fields = normalised(df)
     ids = [c for c in ("original_id", "id") if c in fields.columns]
-    meta = {"dataset_id": dataset, "loaded_at": loaded_at, "primary_issue": C.primary_issue(dataset, title, "uncategorized")}
-    meta |= {"secondary_issues": C.secondary_issues(dataset), "subcategory": C.subcategory(dataset, C.primary_issue(dataset, title, "uncategorized"), "general"), "data_type": C.data_type(dataset)} | (overrides or {})
-    own = [c for c in fields.columns if c not in meta and c != "_unique_id"]
-    head = [f"{record_id(dataset, resource, 'unknown_resource', ids, canonical(fields.columns))} as _unique_id"]
-    head += [f"`{k}`" if k in fields.columns else f"{v} as {k}" for k, v in meta.items()]
-    at = fields.selectExpr(*head, *[f"`{c}`" for c in own])
-    at = at.withColumn("issue_keywords", F.expr(C.issue_keywords("primary_issue", "subcategory")))
+    over, have = overrides or {}, fields.columns
+    uid = f"{record_id(dataset, resource, 'unknown_resource', ids, canonical(have))} as _unique_id"
+    own = [c for c in have if c not in ("dataset_id", "_unique_id")]
+    at = fields.selectExpr(uid, f"{'`dataset_id`' if 'dataset_id' in have else over.get('dataset_id', dataset)} as dataset_id", *[f"`{c}`" for c in own], *([f"{title} as _title"] if "primary_issue" not in have else []))
+    # one after the other, each computed once: the chains are long and read each other's results
+    chains = {
+        "loaded_at": loaded_at, "primary_issue": C.primary_issue("dataset_id", "_title", "uncategorized"), "secondary_issues": C.secondary_issues("dataset_id"),
+        "subcategory": C.subcategory("dataset_id", "primary_issue", "general"), "data_type": C.data_type("dataset_id"),
+    } | over
+    for name, sql in chains.items():
+        if name not in at.columns:
+            at = once(at, **{name: sql})
+    at = once(at.drop("_title"), issue_keywords=C.issue_keywords("primary_issue", "subcategory"))
     kinds = {f.name: f.dataType.simpleString() for f in at.schema}
     return at.withColumn("searchable_text", F.expr(searchable_text(at.columns, kinds)))
 
 
+def metadata(package: str, resource_name: str = "null", title: str = "null", notes: str = "null", extra: dict[str, str] | None = None) -> dict[str, str]:
+    """Name to SQL of what is said of a dataset: ids, taxonomy, type, keywords, texts cut to 200 and
+    500 characters. `extra` replaces what it names."""
+    from cedarloom.functions.names import clean_id_sql
+
+    issue = C.primary_issue(package, title)
+    sub = C.subcategory(package, issue)
+    out = {
+        "dataset_id": f"concat({package}, '_', {clean_id_sql(f'coalesce(nullif({resource_name}, {chr(39) * 2}), {chr(39)}data{chr(39)})')})",
+        "dataset_name": f"coalesce(nullif({resource_name}, ''), {package})", "package_name": package, "source": "'toronto-open-data'",
+        "primary_issue": issue, "secondary_issues": C.secondary_issues(package), "subcategory": sub, "data_type": C.data_type(package, resource_name), "issue_keywords": C.issue_keywords(issue, sub),
+        "package_title": f"nullif(left({title}, 200), '')", "package_notes": f"nullif(left({notes}, 500), '')",
+    }
+    return out | (extra or {})
+
+
+def from_bronze(stored: DataFrame, schema: str, dataset: str = "_dataset_id", **kw) -> DataFrame:
+    """Silver documents made anew from the raw records of a bronze table; `schema` is that of the
+    records of its datasets."""
+    raw = stored.select(F.col("_dataset_id").alias("_ds"), F.from_json("_original", schema).alias("r")).select("_ds", "r.*")
+    return silver(raw.withColumnRenamed("_ds", "dataset_id"), "dataset_id", **kw)
+
+
 def gold_location(columns: list[str]) -> str:
     """struct(lat, lon): centroid or latitude and longitude, 0 counting as missing; null else."""
     pick = lambda *names: "coalesce(" + ", ".join([f"nullif(try_cast(`{n}` as double), 0)" for n in names if n in columns] + ["cast(null as double)"]) + ")"

@@ -177,6 +177,25 @@ def statistics(docs: DataFrame, dataset: str, category: str) -> DataFrame:
     return docs.selectExpr(each).groupBy("kind", "value").agg(F.count("*").alias("n"))
 
 
+# Searches within one issue.
+PRESETS = {"health": "health", "housing": "housing", "transportation": "transportation", "safety": "public_safety", "environment": "environment", "business": "business_and_economy", "permits": "permits"}
+
+
+def search_issue(docs: DataFrame, index: Index, key: str, preset: str, query: str, size: int = 10) -> tuple[DataFrame, DataFrame]:
+    """A search among the documents whose primary issue is that of the preset."""
+    return search(docs, index, key, Request(query, {"primary_issue": PRESETS[preset]}, size=size))
+
+
+def in_neighbourhood(docs: DataFrame, name: str, column: str = "neighbourhood") -> DataFrame:
+    """Documents whose neighbourhood shares a word with the name."""
+    return docs.where(f"arrays_overlap({tokens(f'`{column}`')}, array({sql_list(analyse(name))}))") if analyse(name) else docs.limit(0)
+
+
+def recent(docs: DataFrame, time: str, days: int, now: str, size: int = 20) -> DataFrame:
+    """The latest documents of the last days before `now` (SQL), newest first."""
+    return docs.where(f"`{time}` >= {now} - interval {days} days").orderBy(F.desc(time)).limit(size)
+
+
 def prefixes(c: str, least: int = 2, most: int = 20) -> str:
     """Edge n-grams of the words of a text."""
     grams = f"flatten(transform({tokens(c, False)}, t -> case when length(t) >= {least} then transform(sequence({least}, least({most}, length(t))), i -> left(t, i)) else cast(array() as array<string>) end))"

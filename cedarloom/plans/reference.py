@@ -202,6 +202,22 @@ def outbreak_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.selectExpr("outbreak_id", f"array_join({M.tags(src.columns)}, ',') as tags")
 
 
+@query(f"""
+with s as (select asset_id, dataset_id, {_o_issue('dataset_id')} as issue from assets where dataset_id is not null)
+select asset_id as id, issue as primary_issue, {_o_sub('dataset_id', 'issue')} as subcategory from s""")
+def reprocess_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = M.from_bronze(_bronze(spark, sf_dir).where("_dataset_id is not null"), "id bigint, asset_type string, asset_label string, latitude string, longitude string", loaded_at="timestamp '2024-01-01'")
+    return made.select("id", "primary_issue", "subcategory")
+
+
+@query(f"""
+select pos, package_id || '_' || coalesce(nullif(lower(trim(regexp_replace(regexp_replace(coalesce(nullif(name, ''), 'data'), '[^\\w\\s-]', '', 'g'), '[-\\s]+', '_', 'g'), '_'))[1:50], ''), '') as dataset_id,
+    {_o_type("concat(package_id, ' ', coalesce(name, ''))")} as data_type from resources""")
+def dataset_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meta = M.metadata("package_id", "name")
+    return table(spark, sf_dir, "resources").selectExpr("pos", *[f"{meta[c]} as {c}" for c in ("dataset_id", "data_type")])
+
+
 # --- upsert, delete, counts
 
 
@@ -329,6 +345,11 @@ def facet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.facets(table(spark, sf_dir, "events"), "event_type", 50)
 
 
+@query("select asset_id from assets where len(list_filter(regexp_split_to_array(lower(asset_type), '[^a-z]+'), lambda t: t in ('bike', 'stop'))) > 0")
+def search_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.in_neighbourhood(table(spark, sf_dir, "assets"), "The Bike Stop", "asset_type").select("asset_id")
+
+
 @query("select value, count(*) as n from (select unnest(list_distinct(list_filter(string_split(lower(asset_type || ' ' || dataset_id), ' '), lambda x: x != ''))) as value from assets) group by 1")
 def facet_multivalued(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = table(spark, sf_dir, "assets").selectExpr("filter(split(lower(concat(asset_type, ' ', dataset_id)), ' '), x -> x != '') as words")
