@@ -83,15 +83,18 @@ def base_name_sql(c: str) -> str:
     return rf"trim(regexp_replace(regexp_replace(regexp_replace({c}, r'(?i){YEAR}', ''), r'(?i){VERSION}', ''), r'[_\-]+$', ''))"
 
 
-def signature_sql(name: str, url: str, ident: str) -> str:
-    """What tells data sources apart: the name, with the year in the URL or its file name where
-    that says more and the name has no year; the id where there is neither."""
-    n = resource_name_sql(name)
-    u = f"coalesce({url}, '')"
-    year = rf"regexp_extract({u}, r'{YEAR}', 1)"
-    file = resource_name_sql(rf"regexp_extract(regexp_replace({u}, r'[?].*$', ''), r'([^/]*)$', 1)")
-    more = f"case when {year} != '' then {year} when {file} != '' and {file} != {n} then {file} else '' end"
-    sig = rf"case when {more} != '' and regexp_extract({n}, r'{YEAR}', 1) = '' then concat({n}, ':', {more}) else {n} end"
+def url_name_sql(url: str) -> str:
+    """The file name of a URL, normalised as resource names are."""
+    return resource_name_sql(rf"regexp_extract(regexp_replace(coalesce({url}, ''), r'[?].*$', ''), r'([^/]*)$', 1)")
+
+
+def signature_sql(normal: str, url_name: str, url: str, ident: str) -> str:
+    """What tells data sources apart, of a normalised name and file name: the name, with the year in
+    the URL or the file name where that says more and the name has no year; the id where there is
+    neither."""
+    year = rf"regexp_extract(coalesce({url}, ''), r'{YEAR}', 1)"
+    more = f"case when {year} != '' then {year} when {url_name} != '' and {url_name} != {normal} then {url_name} else '' end"
+    sig = rf"case when {more} != '' and regexp_extract({normal}, r'{YEAR}', 1) = '' then concat({normal}, ':', {more}) else {normal} end"
     return f"coalesce(nullif({sig}, ''), {ident}, 'unknown')"
 
 

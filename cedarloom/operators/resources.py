@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cedarloom.functions import classify as C
-from cedarloom.functions.names import base_name_sql, resource_name_sql, signature_sql
+from cedarloom.functions.names import base_name_sql, resource_name_sql, signature_sql, url_name_sql
 from cedarloom.functions.rows import once
 
 
 def described(resources: DataFrame) -> DataFrame:
     """With normal_name, base_name, signature, method, method_format and priority (of the format to
     fetch, 99 where there is none)."""
-    at = once(resources, normal_name=resource_name_sql("name"), signature=signature_sql("name", "url", "id"), how=C.resource_method("name", "format", "url", "datastore_active"))
+    at = once(resources, normal_name=resource_name_sql("name"), _url_name=url_name_sql("url"))
+    at = once(at, signature=signature_sql("normal_name", "_url_name", "url", "id"), how=C.resource_method("name", "format", "url", "datastore_active"))
     prio = C.format_priority("coalesce(case when how.method = 'datastore' then 'datastore' else how.format end, '')")
     return at.selectExpr(*resources.columns, "normal_name", f"{base_name_sql('normal_name')} as base_name", "signature", "how.method as method", "how.format as method_format", f"{prio} as priority")
 
