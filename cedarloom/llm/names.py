@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ from cedarloom.io import cut
 
 MOST = 2
 BLOCK = 2048
+LONG = 32
+_POWERS = np.cumprod(np.full(LONG + MOST + 2, 0x9E3779B97F4A7C15, dtype="uint64"))
 # Kinds of business: word and the ways it is shortened.
 KINDS = {
     "association": ["assoc", "assn"], "bakery": [], "bar": [], "barbershop": [], "care": [], "catering": [],
@@ -234,56 +238,75 @@ def neighbours(root: dict, word: str, most: int) -> Iterator[tuple[str, int]]:
             stack += [(child, k, new, state, mask) for k, child in node.items() if k]
 
 
-def shard_keys(a: str, b: str) -> set[tuple[str, str]]:
-    """(key, text) of the shards of a spelling of two words, in either order, and what is compared
-    in each. Two spellings within two edits share one: all edits in one word leave the other whole
-    and, of the edited word, the start, the end or the middle (then only the edited words are
-    compared); an edit in each leaves a start or an end of each; words run together leave the start
-    and the end of the whole."""
-    wholes = {a + b, b + a}
-    out = {(f"w{w[:5]}|{w[-5:]}", w) for w in wholes}
-    for x, y in ((a, b), (b, a)):
-        if x and y:
-            out |= {(f"s{x}|{y[:3]}", y), (f"e{x}|{y[-3:]}", y)} | {(f"m{x}|{y[i : len(y) - j]}", y) for i in (2, 3, 4) for j in (2, 3, 4) if len(y) - i - j >= 2}
-            out |= {(f"x{p}|{q}", x + y) for p in (x[:3], x[-3:]) for q in (y[:3], y[-3:]) if p <= q}
-    return out
+def _forms(text: str) -> np.ndarray:
+    """Hashes of the text with up to MOST (two) letters deleted: sums of letter times power of the place."""
+    c = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype("uint64") + np.uint64(1)
+    n = len(c)
+    moved = [np.concatenate([[np.uint64(0)], np.cumsum(c * np.roll(_POWERS[: n + 2], k)[:n])]).astype("uint64") for k in range(3)]
+    i, j = np.triu_indices(n, 1)
+    one = np.arange(n)
+    return np.concatenate([[moved[0][n]], moved[0][one] + moved[1][n] - moved[1][one + 1], moved[0][i] + moved[1][j] - moved[1][i + 1] + moved[2][n] - moved[2][j + 1]])
+
+
+def _pieces(text: str) -> np.ndarray:
+    """Hashes of the fifths of a text as they stand in it if it or a text up to two letters shorter is cut in five."""
+    n, out = len(text), []
+    for short in range(max(n - MOST, LONG + 1), n + 1):
+        ends = [k * short // 5 for k in range(6)]
+        for k in range(5):
+            for shift in range(-MOST, MOST + 1):
+                if 0 <= ends[k] + shift and ends[k + 1] + shift <= n:
+                    out.append(zlib.crc32(text[ends[k] + shift : ends[k + 1] + shift].encode()) << 32 | (short * 5 + k) % (1 << 32))
+    return np.array(out, dtype="uint64")
+
+
+def shard_keys(text: str) -> np.ndarray:
+    """Keys of the shards of a text; two texts within two edits share one, whatever their lengths.
+
+    One edit (a swap too) is undone by deleting at most one letter on either side, so texts of up to
+    LONG + 2 letters share what is left of them without two letters. If the shorter has more than
+    LONG, two edits touch at most four of its fifths, a swap two of them; one is whole in the other
+    text, moved by two letters at most. Texts of LONG + 1 and LONG + 2 letters get both kinds of key."""
+    parts = ([_forms(text)] if len(text) <= LONG + MOST else []) + ([_pieces(text)] if len(text) > LONG else [])
+    return np.unique(np.concatenate(parts)).view("int64")
 
 
 def trie_join(spellings: DataFrame, most: int = MOST, block: int = BLOCK) -> DataFrame:
-    """(id_a, id_b, d), id_a < id_b, of spellings (id, first, second) within `most` edits.
+    """(id_a, id_b, d), id_a < id_b, of spellings (id, first, second) within `most` (at most MOST)
+    edits as joined texts, in either order of the words.
 
     Shards larger than `block` are cut into blocks and every pair of blocks is a shard, so that no
-    task gets more than two blocks and no pair is lost."""
+    task gets more than two blocks and no pair is lost. Shards of the same texts are one."""
+    written = spellings.selectExpr("id", "explode(array_distinct(array(concat(first, second), concat(second, first)))) as text")
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(i, t, k) for i, x, y in zip(b["id"], b["first"], b["second"], strict=True) for k, t in shard_keys(x, y)]
-            if rows:
-                yield pd.DataFrame(rows, columns=["id", "text", "key"])
+            yield pd.DataFrame({"text": b["text"], "keys": [shard_keys(t) for t in b["text"]]})
 
-    keyed = spellings.select("id", "first", "second").mapInPandas(keys, "id bigint, text string, key string")
-    keyed = keyed.withColumn("key", F.xxhash64("key"))
-    size = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    at = keyed.join(size, "key").withColumn("nb", F.expr(f"cast(ceil(n / {block}D) as int)")).withColumn("own", F.expr("cast(pmod(xxhash64(id), nb) as int)"))
-    at = at.withColumn("other", F.expr("explode(sequence(0, nb - 1))")).withColumns({"lo": F.expr("least(own, other)"), "hi": F.expr("greatest(own, other)")})
-    shards = at.groupBy("key", "lo", "hi").agg(F.collect_list("id").alias("ids"), F.collect_list("text").alias("texts")).where("size(ids) > 1").select("ids", "texts")
+    keyed = written.select("text").distinct().mapInPandas(keys, "text string, keys array<bigint>").selectExpr("text", "explode(keys) as key")
+    at = keyed.withColumn("n", F.expr("count(*) over (partition by key)")).where("n > 1").withColumn("nb", F.expr(f"cast(ceil(n / {block}D) as int)")).withColumn("own", F.expr("cast(pmod(xxhash64(text), nb) as int)"))
+    at = at.withColumn("other", F.expr("explode(sequence(0, nb - 1))")).select("text", "key", F.expr("least(own, other) as lo"), F.expr("greatest(own, other) as hi"))
+    shards = at.repartition("key", "lo", "hi").groupBy("key", "lo", "hi").agg(F.expr("array_sort(collect_list(text)) as texts")).where("size(texts) > 1").select("texts").distinct()
 
     def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for ids, texts in zip(b["ids"], b["texts"], strict=True):
+            for texts in b["texts"]:
+                if len(texts) == 2:
+                    d = distance(*texts, most)
+                    out += [(*texts, d)] if d <= most else []
+                    continue
                 root: dict = {}
-                forms: dict[str, list[int]] = {}
-                for i, text in zip(ids, texts, strict=True):  # each against those before it
-                    for other, d in neighbours(root, text, most):
-                        out += [(min(i, j), max(i, j), d) for j in forms[other] if j != i]
-                    if text not in forms:
-                        trie([text], root)
-                    forms.setdefault(text, []).append(i)
+                for text in texts:  # each against those before it
+                    out += [(other, text, d) for other, d in neighbours(root, text, most)]
+                    trie([text], root)
             if out:
-                yield pd.DataFrame(out, columns=["id_a", "id_b", "d"]).drop_duplicates()
+                yield pd.DataFrame(out, columns=["text_a", "text_b", "d"]).drop_duplicates()
 
-    return shards.mapInPandas(traverse, "id_a bigint, id_b bigint, d int").groupBy("id_a", "id_b").agg(F.min("d").alias("d"))
+    close = shards.mapInPandas(traverse, "text_a string, text_b string, d int").distinct()
+    close = close.unionByName(written.selectExpr("text as text_a", "text as text_b", "0 as d").distinct())
+    pairs = close.join(written.selectExpr("text as text_a", "id as x"), "text_a").join(written.selectExpr("text as text_b", "id as y"), "text_b").where("x != y")
+    return pairs.selectExpr("least(x, y) as id_a", "greatest(x, y) as id_b", "d").groupBy("id_a", "id_b").agg(F.min("d").alias("d"))
 
 
 def entities(operators: DataFrame) -> DataFrame:

@@ -75,3 +75,29 @@ def test_pairs(spark):
 
 def test_empty(spark):
     assert same_name(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_trie_join_keeps_its_bound_for_every_length(spark):
+    random.seed(7)
+    word = lambda lo, hi: "".join(random.choice("abdefilnorstuz") for _ in range(random.randint(lo, hi)))
+
+    def typo(w):
+        i = random.randrange(len(w))
+        return random.choice([w[:i] + w[i + 1 :], w[:i] + "x" + w[i:], w[:i] + "y" + w[i + 1 :], w[:i] + w[i + 1 : i + 2] + w[i : i + 1] + w[i + 2 :]]) or w
+
+    names = []
+    for k in range(90):
+        a, b = (word(2, 9), word(2, 9)) if k < 60 else (word(14, 19), word(14, 19))
+        whole = typo(a + b)
+        at = random.randrange(1, len(whole))
+        names += [(a, b), (typo(typo(a)), b), (typo(b), typo(a)), (a + b, ""), (whole, ""), (typo(whole), ""), (typo(b + a), ""), (whole[:at], whole[at:])]
+    names = sorted(set(names))
+    want = {}
+    for i, (a, b) in enumerate(names):
+        for j, (c, d) in enumerate(names[i + 1 :], i + 1):
+            k = min(distance(x, y) for x in {a + b, b + a} for y in {c + d, d + c})
+            if k <= 2:
+                want[i, j] = k
+    df = spark.createDataFrame([(i, *n) for i, n in enumerate(names)], "id bigint, first string, second string")
+    assert want == {(r["id_a"], r["id_b"]): r["d"] for r in trie_join(df).collect()}
+    assert want == {(r["id_a"], r["id_b"]): r["d"] for r in trie_join(df, block=4).collect()}
