@@ -316,11 +316,16 @@ def entities(operators: DataFrame) -> DataFrame:
     spell = ["sort", "first", "second"]
     known = at.where("not (sort = 'p' and length(second) = 1)")
     kinds = known.groupBy(*spell, "kind").agg(F.count("*").alias("n"))
+    cities = known.where("city != ''").groupBy(*spell, "city").agg(F.count("*").alias("c"))
+    # a surname with an initial is a spelling too (sort i), whether the given name is written out or not
+    bare = at.where("sort = 'p'").selectExpr("'i' as sort", "first", "left(second, 1) as second", "city")
+    kinds = kinds.unionByName(bare.groupBy(*spell).agg(F.lit("").alias("kind"), F.count("*").alias("n")))
+    cities = cities.unionByName(bare.where("city != ''").groupBy(*spell, "city").agg(F.count("*").alias("c")))
     spelled = kinds.groupBy(*spell).agg(F.sum("n").alias("n"), F.max(F.expr("case when kind != '' then struct(n, kind) end")).alias("k"))
-    cities = known.where("city != ''").groupBy(*spell, "city").agg(F.count("*").alias("c")).groupBy(*spell).agg(F.max(F.struct("c", "city")).alias("m"))
+    cities = cities.groupBy(*spell).agg(F.max(F.struct("c", "city")).alias("m"))
     spelled = spelled.join(cities.selectExpr(*spell, "m.city as city"), spell, "left").selectExpr(*spell, "n", "coalesce(k.kind, '') as kind", "coalesce(city, '') as city", "xxhash64(sort, first, second) as id")
     spelled = cut(spelled, "spellings")
-    near = trie_join(spelled)
+    near = trie_join(spelled.selectExpr("id", "first", "case when sort = 'i' then '' else second end as second"))
     side = lambda p: spelled.selectExpr(f"id as id_{p}", f"sort as sort_{p}", f"n as n_{p}", f"kind as kind_{p}", f"city as city_{p}", f"first as first_{p}", f"second as second_{p}")
     near = near.join(side("a"), "id_a").join(side("b"), "id_b").where("sort_a = sort_b")
     # the same given name, but for typos in words that are no given name; a kind of business that does not contradict
@@ -343,14 +348,16 @@ def entities(operators: DataFrame) -> DataFrame:
     full = known.withColumn("id", F.xxhash64(*spell)).join(root, "id")
     canon = cut(full.selectExpr("operator_id", "sort", "first", "second", "root", "qualifier", "kind", "extra", "city"), "canon")
 
-    # initials: the one person of that surname and initial, the likeliest by city, trade and middle initial
+    # initials: the one person of that surname or one near it and that initial, the likeliest by city,
+    # trade, middle initial and spelling
     people = canon.where("sort = 'p'").groupBy("first", "second", "root").agg(F.collect_set("city").alias("cities"), F.collect_set("kind").alias("trades"), F.collect_set("extra").alias("middles"), F.count("*").alias("n"))
-    people = people.selectExpr("first", "left(second, 1) as second", "root", "cities", "trades", "middles", "n")
-    short = at.where("sort = 'p' and length(second) = 1").join(people, ["first", "second"], "left")
+    named = lambda df: df.withColumn("id", F.expr("xxhash64('i', first, left(second, 1))")).join(root.withColumnRenamed("root", "surname"), "id")
+    people = named(people).selectExpr("surname", "first as full", "root", "cities", "trades", "middles", "n")
+    short = named(at.where("sort = 'p' and length(second) = 1")).join(people, "surname", "left")
     score = """struct(case when city != '' and array_contains(cities, city) then 2 else 0 end + case when kind != '' and array_contains(trades, kind) then 2 else 0 end
-        + case when extra != '' and array_contains(middles, extra) then 2 else 0 end as s, n, root)"""
-    short = short.groupBy("operator_id", "first", "second").agg(F.max(F.expr(f"case when root is not null then {score} end")).alias("m"))
-    short = short.selectExpr("operator_id", "concat('p|', coalesce(cast(m.root as string), concat(first, ' ', second))) as entity")
+        + case when extra != '' and array_contains(middles, extra) then 2 else 0 end + case when first = full then 1 else 0 end as s, n, root)"""
+    short = short.groupBy("operator_id", "surname").agg(F.max(F.expr(f"case when root is not null then {score} end")).alias("m"))
+    short = short.selectExpr("operator_id", "case when m is null then concat('i|', surname) else concat('p|', m.root) end as entity")
     return canon.selectExpr("operator_id", "concat(sort, '|', root, '|', qualifier) as entity").withColumn("entity", F.expr("case when entity like 'p|%' then regexp_replace(entity, '[|]$', '') else entity end")).unionByName(short)
 
 

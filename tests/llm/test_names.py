@@ -101,3 +101,11 @@ def test_trie_join_keeps_its_bound_for_every_length(spark):
     df = spark.createDataFrame([(i, *n) for i, n in enumerate(names)], "id bigint, first string, second string")
     assert want == {(r["id_a"], r["id_b"]): r["d"] for r in trie_join(df).collect()}
     assert want == {(r["id_a"], r["id_b"]): r["d"] for r in trie_join(df, block=4).collect()}
+
+
+def test_typos_in_surnames_with_an_initial(spark):
+    rows = [
+        (1, "BINTUNTALFA, H", None, None, "Tamsley"), (2, "Binuntalfa, H, Catering", None, None, "Tamsley"), (3, "Folfosbirwes Jo Home Day Care", None, None, "Harlowen"),
+        (4, "J Folfosibrwes Home Day Care", None, None, "Harlowen"), (5, "K Folfosibrwes", None, None, "Harlowen"), (6, "L. Bintuntalfa", None, None, "Tamsley"),
+    ]
+    assert {tuple(r) for r in same_name(spark.createDataFrame(rows, SCHEMA)).collect()} == {(1, 2), (3, 4)}
