@@ -315,18 +315,19 @@ def entities(operators: DataFrame) -> DataFrame:
     at = cut(read_names(operators), "names")
     spell = ["sort", "first", "second"]
     known = at.where("not (sort = 'p' and length(second) = 1)")
-    kinds = known.groupBy(*spell, "kind").agg(F.count("*").alias("n"))
+    # m: distinct records, so that copies are no evidence for a spelling
+    kinds = known.groupBy(*spell, "kind").agg(F.count("*").alias("n"), F.count_distinct("qualifier", "extra", "city").alias("m"))
     cities = known.where("city != ''").groupBy(*spell, "city").agg(F.count("*").alias("c"))
     # a surname with an initial is a spelling too (sort i), whether the given name is written out or not
-    bare = at.where("sort = 'p'").selectExpr("'i' as sort", "first", "left(second, 1) as second", "city")
-    kinds = kinds.unionByName(bare.groupBy(*spell).agg(F.lit("").alias("kind"), F.count("*").alias("n")))
+    bare = at.where("sort = 'p'").selectExpr("'i' as sort", "first", "left(second, 1) as second", "second as given", "kind", "extra", "city")
+    kinds = kinds.unionByName(bare.groupBy(*spell).agg(F.lit("").alias("kind"), F.count("*").alias("n"), F.count_distinct("given", "kind", "extra", "city").alias("m")))
     cities = cities.unionByName(bare.where("city != ''").groupBy(*spell, "city").agg(F.count("*").alias("c")))
-    spelled = kinds.groupBy(*spell).agg(F.sum("n").alias("n"), F.max(F.expr("case when kind != '' then struct(n, kind) end")).alias("k"))
-    cities = cities.groupBy(*spell).agg(F.max(F.struct("c", "city")).alias("m"))
-    spelled = spelled.join(cities.selectExpr(*spell, "m.city as city"), spell, "left").selectExpr(*spell, "n", "coalesce(k.kind, '') as kind", "coalesce(city, '') as city", "xxhash64(sort, first, second) as id")
+    spelled = kinds.groupBy(*spell).agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.max(F.expr("case when kind != '' then struct(n, kind) end")).alias("k"))
+    cities = cities.groupBy(*spell).agg(F.max(F.struct("c", "city")).alias("most"))
+    spelled = spelled.join(cities.selectExpr(*spell, "most.city as city"), spell, "left").selectExpr(*spell, "n", "m", "coalesce(k.kind, '') as kind", "coalesce(city, '') as city", "xxhash64(sort, first, second) as id")
     spelled = cut(spelled, "spellings")
     near = trie_join(spelled.selectExpr("id", "first", "case when sort = 'i' then '' else second end as second"))
-    side = lambda p: spelled.selectExpr(f"id as id_{p}", f"sort as sort_{p}", f"n as n_{p}", f"kind as kind_{p}", f"city as city_{p}", f"first as first_{p}", f"second as second_{p}")
+    side = lambda p: spelled.selectExpr(f"id as id_{p}", f"sort as sort_{p}", f"n as n_{p}", f"m as m_{p}", f"kind as kind_{p}", f"city as city_{p}", f"first as first_{p}", f"second as second_{p}")
     near = near.join(side("a"), "id_a").join(side("b"), "id_b").where("sort_a = sort_b")
     # the same given name, but for typos in words that are no given name; a kind of business that does not contradict
     initials = lambda k: f"array_join(transform(split({k}, ' '), w -> left(w, 1)), '')"
@@ -335,7 +336,9 @@ def entities(operators: DataFrame) -> DataFrame:
         or (left(kind_a, 1) = '~' and {letters("substr(kind_a, 2)")} = {letters(initials('kind_b'))})
         or (left(kind_b, 1) = '~' and {letters("substr(kind_b, 2)")} = {letters(initials('kind_a'))}))"""
     near = near.where(f"{same_kind} and (sort_a = 'o' or second_a = second_b)")
-    sure = "(d <= 1 and (least(n_a, n_b) <= 2 or greatest(n_a, n_b) >= 3 * least(n_a, n_b))) or (d = 2 and least(n_a, n_b) <= 2 and (city_a = city_b or city_a = '' or city_b = ''))"
+    # few distinct records, a rarer one, or one city and kind speak for a typo; copies change none of these
+    place, rarer = "(city_a = city_b or city_a = '' or city_b = '')", "least(m_a, m_b) <= 2 or greatest(m_a, m_b) >= 3 * least(m_a, m_b)"
+    sure = f"(d <= 1 and ({rarer} or {place})) or (d = 2 and {place} and ({rarer} or (city_a = city_b and city_a != '' and kind_a = kind_b)))"
     near = cut(near.where(sure).select("id_a", "n_a", "id_b", "n_b", "d"), "near")
     both = near.unionByName(near.selectExpr("id_b as id_a", "n_b as n_a", "id_a as id_b", "n_a as n_b", "d"))
     up = both.where("n_b > n_a or (n_b = n_a and id_b > id_a)").groupBy("id_a").agg(F.max(F.struct(-F.col("d"), F.col("n_b"), F.col("id_b"))).alias("m")).selectExpr("id_a as id", "m.id_b as root")

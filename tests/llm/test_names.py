@@ -109,3 +109,11 @@ def test_typos_in_surnames_with_an_initial(spark):
         (4, "J Folfosibrwes Home Day Care", None, None, "Harlowen"), (5, "K Folfosibrwes", None, None, "Harlowen"), (6, "L. Bintuntalfa", None, None, "Tamsley"),
     ]
     assert {tuple(r) for r in same_name(spark.createDataFrame(rows, SCHEMA)).collect()} == {(1, 2), (3, 4)}
+
+
+def test_copies_change_no_pairs(spark):
+    names = [("Hepulsi Lelunbil Catering", "Tamsley"), ("Hepuxsi Lelunbli Catering", "Tamsley"), ("Durzanfol Wesketgil Lodge", "Harlowen"), ("Durzanfol Wesketgll Lodge", "Harlowen")]
+    rows = [(10 * k + i, n, None, None, c) for k, (n, c) in enumerate(names) for i in range(4 + k % 2)]
+    got = {tuple(r) for r in same_name(spark.createDataFrame(rows, SCHEMA)).collect()}
+    ids = [r[0] for r in rows]
+    assert got == {(a, b) for a in ids for b in ids if a < b and a // 20 == b // 20}
