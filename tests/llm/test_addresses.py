@@ -1,6 +1,8 @@
 import pytest
 
-from cedarloom.llm.addresses import Parser, distance, same_address
+from itertools import product
+
+from cedarloom.llm.addresses import Parser, distance, edits, localities, same_address
 
 P = Parser(["Tamsley", "Lower Wexmoor", "St. Aldric"])
 
@@ -49,3 +51,35 @@ def test_pairs(spark):
 
 def test_empty(spark):
     assert same_address(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_edits_in_sql(spark):
+    words = ["debilviswel", "debivlsiwel", "debilvisel", "edbilviswle", "debilviswell", "xdebilviswel", "debxlvyswel", "debilviswe", "other", "debiliswlev"]
+    rows = spark.createDataFrame(list(product(words, words)), "a string, b string").selectExpr("a", "b", f"{edits('a', 'b')} as d").collect()
+    assert all((r["d"] if r["d"] is not None else 3) == min(distance(r["a"], r["b"], 2), 3) for r in rows)
+
+
+def test_rare_cities_stay_themselves(spark):
+    rows = [(i, None, "10 Longbrooken Ave", None, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}ton{i}", None) for i in range(3000)]
+    rows += [(5000, "10 Longbrooken Ave, Aaton0", None, None, None, None), (5001, None, "11 Longbrooken Ave", None, "aaton0", None)]
+    assert {tuple(r) for r in same_address(spark.createDataFrame(rows, SCHEMA)).collect()} == {(0, 5000)}
+
+
+def test_localities(spark):
+    rows = [("milton", "l9t")] * 9 + [("hilton", "k0c"), ("miltn", "l9t"), ("mitlon", ""), ("mxltn", "l9t"), ("oakville", ""), ("milltown", "k1a")]
+    got = dict(localities(spark.createDataFrame(rows, "city string, postal string")).collect())
+    # another postal area: another place; six letters: one typo at most
+    assert got == {"milton": "milton", "hilton": "hilton", "miltn": "milton", "mitlon": "milton", "mxltn": "mxltn", "oakville": "oakville", "milltown": "milltown"}
+
+
+def test_very_long_street_name(spark):
+    long = "".join(chr(97 + (i * 7 + i // 11) % 26) for i in range(20_000))
+    rows = [(i, None, f"12 {long} Street", None, "Tamsley", None) for i in range(4)] + [(9, None, f"12 {long[:500]}{long[501:]} Street", None, "Tamsley", None)]
+    assert same_address(spark.createDataFrame(rows, SCHEMA)).count() == 10
+
+
+def test_clashing_names_and_ties(spark):
+    rows = [(1, None, "5 Abcdefgh St", None, "Aa", None, "x"), (2, None, "5 Abcdefgh St", None, "Bb", None, "y"), (3, None, "5 Abcdefgh St", None, None, None, "z")]
+    got = {tuple(r) for r in same_address(spark.createDataFrame(rows, SCHEMA + ", num string")).collect()}
+    # a record without a city goes to one of two cities that are as likely, the later in name
+    assert got == {(2, 3)}
