@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cedarloom.functions.rows import once
 from cedarloom.functions.values import NULL_VALUES
 from cedarloom.io import cut
 from cedarloom.llm.names import distance, shard_keys
@@ -283,8 +284,7 @@ def localities(rows: DataFrame) -> DataFrame:
     names = counts.groupBy("city").agg(F.sum("n").alias("n"))
     form = _keyed(names.where("length(city) >= 4"), "city")
     near = form.join(form.where("n >= 3").selectExpr("city as canon", "n as canon_n", "form"), "form").where("canon_n >= 3 * n and city != canon")
-    near = near.withColumn("d", F.expr(edits("city", "canon"))).where("d = 1 or (d = 2 and canon_n >= 6 * n and length(city) > 6)")
-    near = near.select("city", "n", "canon", "canon_n", "d").distinct()
+    near = once(near.drop("form").distinct(), d=edits("city", "canon")).where("d = 1 or (d = 2 and canon_n >= 6 * n and length(city) > 6)")
     areas = counts.where("fsa is not null").select("city", "fsa")
     common = near.join(areas, "city").join(areas.withColumnRenamed("city", "canon"), ["canon", "fsa"]).select("city", "canon").distinct().withColumn("common", F.lit(True))
     has = lambda c: areas.select(F.col("city").alias(c)).distinct().withColumn(f"{c}_has", F.lit(True))
@@ -303,7 +303,7 @@ def parsed(premises: DataFrame) -> DataFrame:
     exact = cut(words.join(places.withColumnRenamed("city", "word"), "word").select("premise_id", "word", "canon", F.lit(True).alias("exact")), "named")
     typos = cut(at.where("size(typos) > 0").join(exact.select("premise_id").distinct(), "premise_id", "left_anti").selectExpr("premise_id", "explode(typos) as word"), "typos")
     form = _keyed(typos.select("word").distinct(), "word").join(_keyed(places.selectExpr("canon").distinct(), "canon"), "form").where("word != canon")
-    form = form.withColumn("d", F.expr(edits("word", "canon"))).where("d <= case when length(word) > 6 then 2 when length(word) > 3 then 1 end")
+    form = once(form.drop("form").distinct(), d=edits("word", "canon")).where("d <= case when length(word) > 6 then 2 when length(word) > 3 then 1 end")
     close = form.groupBy("word").agg(F.min(F.struct("d", "canon")).alias("m")).selectExpr("word", "m.canon as canon")
     close = typos.join(close, "word").select("premise_id", "word", "canon", F.lit(False).alias("exact"))
     # at most six words for each of three texts, and the city
@@ -336,8 +336,10 @@ def _spellings(names: DataFrame) -> DataFrame:
     six times; what that one joins is followed. Neighbours share a shard key; the join is on that."""
     each = cut(_keyed(names.where("length(name) >= 5"), "name"), "forms")
     often = each.where("n >= 3").selectExpr("city", "name as canon", "n as canon_n", "form")
-    near = each.join(often, ["city", "form"]).where("canon_n >= 3 * n and name != canon")
-    near = near.withColumn("d", F.expr(edits("name", "canon"))).where("d = 1 or (d = 2 and canon_n >= 6 * n)")
+    pairs = lambda rare: each.where(rare).join(often, ["city", "form"]).where("canon_n >= 3 * n and name != canon").drop("form")
+    # of long names a pair is compared once, not for every key they share
+    near = pairs("length(name) <= 32").unionByName(pairs("length(name) > 32").distinct())
+    near = once(near, d=edits("name", "canon")).where("d = 1 or (d = 2 and canon_n >= 6 * n)")
     best = near.groupBy("city", "name").agg(F.max(F.struct(-F.col("d"), F.col("canon_n"), F.col("canon"))).alias("m"))
     return followed(best.selectExpr("city", "name", "m.canon as canon"), ["city"], "name")
 
