@@ -33,7 +33,7 @@ _COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:[Tt ]?(\d{2})(\d{2})(\d{2})?(?:[.,](\d{1,9
 _DMY_NAME = rf"^{_WEEKDAY}(\d{{1,2}})(?:er|st|nd|rd|th)?[-\s/]+(\p{{L}}{{3,9}})\.?[-\s/,]+(\d{{4}}|\d{{2}}){_TAIL}"
 _MDY_NAME = rf"^{_WEEKDAY}(\p{{L}}{{3,9}})\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}}|\d{{2}}){_TAIL}"
 SLASHED = rf"^(\d{{1,2}})/(\d{{1,2}})/(\d{{4}}|\d{{2}}){_TAIL}"
-_NUMBER = r"^\d+(?:\.\d+)?$"
+_NUMBER = r"^-?\d+(?:\.\d+)?$"
 DAY_US = 86_400_000_000
 
 
@@ -51,6 +51,8 @@ def canonical(s: str) -> str:
         when {s} rlike r'{_YMD}' then {to(_YMD, "c~$1~$2~$3~$4~$5~$6~$7~$8~$9")}
         when {s} rlike r'{SLASHED}' then {to(SLASHED, "s~$3~$1~$2~$4~$5~$6~$7~$8~$9")}
         when {s} rlike r'{_NUMBER}' then case
+            when {s} rlike r'^(19\d\d|20\d\d|2100)$' then concat('c~', {s}, '~1~1~~~~~~')
+            when {s} rlike r'^(19|20)\d\d(0[1-9]|1[0-2])$' then concat('c~', left({s}, 4), '~', right({s}, 2), '~1~~~~~~')
             when length(substring_index({s}, '.', 1)) in (8, 12, 14) and {s} rlike r'^(19|20)\d+$' then {to(_COMPACT, "c~$1~$2~$3~$4~$5~$6~$7~~$8")}
             else concat('n~', {s}, '~~~~~~~~') end
         when {s} rlike r'{_COMPACT}' then {to(_COMPACT, "c~$1~$2~$3~$4~$5~$6~$7~~$8")}
@@ -95,16 +97,36 @@ def zone_us(z: str) -> str:
 
 def number_us(s: str) -> tuple[str, str]:
     """Of a number: (local microseconds, of spreadsheet days; UTC microseconds, of seconds,
-    milliseconds, microseconds or nanoseconds since 1970), by how many digits it has."""
-    n, x = f"length(substring_index({s}, '.', 1))", f"try_cast({s} as decimal(28,9))"
-    days = f"case when {n} = 5 then cast(round(({x} - 25569) * {DAY_US}L, 0) as bigint) end"
-    utc = f"""case {n} when 9 then cast(floor({x} * 1000000) as bigint) when 10 then cast(floor({x} * 1000000) as bigint)
-        when 13 then cast(floor({x} * 1000) as bigint) when 16 then cast(floor({x}) as bigint) when 19 then cast(floor({x} / 1000) as bigint) end"""
+    milliseconds, microseconds or nanoseconds since 1970), by its magnitude: days up to the last one
+    spreadsheets know (9999-12-31), seconds up to the year 5138, then the finer units, each from
+    March 1973 on. Days before 61 are one later, as spreadsheets count a 29 February 1900."""
+    x = f"try_cast({s} as decimal(28,9))"
+    days = f"case when {x} >= 1 and {x} < 2958466 then cast(round(({x} - 25569 + case when {x} < 60 then 1 else 0 end) * {DAY_US}L, 0) as bigint) end"
+    utc = f"""case when abs({x}) < 2958466 then null when abs({x}) < 100000000000 then cast(floor({x} * 1000000) as bigint)
+        when abs({x}) < 100000000000000 then cast(floor({x} * 1000) as bigint) when abs({x}) < 100000000000000000 then cast(floor({x}) as bigint)
+        else cast(floor({x} / 1000) as bigint) end"""
     return days, utc
 
 
+FIRST_YEAR, LAST_YEAR = 1840, 2100
+
+
+def zone_year(y: str) -> str:
+    """The year of the offset table that holds for a local year: before the table its first one
+    (zones had one offset then), after it one of its last 28 that begins on the same day of the
+    week and is as long, as the rules in force go by days of the week."""
+    from datetime import date
+
+    leap = lambda n: n % 4 == 0 and (n % 100 != 0 or n % 400 == 0)
+    like = {(leap(n), (date(n, 1, 1) - date(1970, 1, 1)).days % 7): n for n in range(2072, 2100)}
+    names = ", ".join(f"{7 * a + b}, {n}" for (a, b), n in sorted(like.items()))
+    long = f"case when ({y} % 4 = 0 and {y} % 100 != 0) or {y} % 400 = 0 then 7 else 0 end"
+    after = f"try_element_at(map({names}), cast({long} + pmod({epoch_days(y, '1', '1')}, 7) as int))"
+    return f"case when {y} > {LAST_YEAR} then {after} else greatest({y}, {FIRST_YEAR}) end"
+
+
 @lru_cache
-def offset_intervals(zone: str, first_year: int = 1900, last_year: int = 2100) -> list[tuple[int, list[tuple[int, int, int]]]]:
+def offset_intervals(zone: str, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> list[tuple[int, list[tuple[int, int, int]]]]:
     """For each local year the intervals of constant offset that touch it, as (year,
     [(local start, local end, offset)]) in microseconds, the end exclusive. Where clocks go back two
     intervals overlap in local time; where they go forward there is a gap. The size is bounded by
@@ -132,7 +154,7 @@ def offset_intervals(zone: str, first_year: int = 1900, last_year: int = 2100) -
     return out
 
 
-def offset_table(spark: SparkSession, zone: str, first_year: int = 1900, last_year: int = 2100) -> DataFrame:
+def offset_table(spark: SparkSession, zone: str, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
     rows = ", ".join(
         f"({y}, array({', '.join(f'struct({lo}L as lo, {hi}L as hi, {off}L as off)' for lo, hi, off in own)}))" for y, own in offset_intervals(zone, first_year, last_year)
     )

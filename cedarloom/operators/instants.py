@@ -24,7 +24,7 @@ def _readings(parsed: DataFrame, orders: dict[str, tuple[str, str]]) -> DataFram
         **{f"{k}_local": f"case when kind = 'n' then num_local else ({I.epoch_days('y', m, d)}) * {I.DAY_US}L + tod end" for k, (m, d) in orders.items()},
     )
     # the offsets of the intervals that hold the local time
-    hits = "case when off is null and num_utc is null then transform(filter(spans, s -> s.lo <= {0}_local and {0}_local < s.hi), s -> s.off) end"
+    hits = "case when off is null and num_utc is null then transform(filter(spans, s -> s.lo <= {0}_local - zone_shift and {0}_local - zone_shift < s.hi), s -> s.off) end"
     at = once(at, **{f"{k}_hits": hits.format(k) for k in orders})
     reading = """case when num_utc is not null then struct(num_utc as utc, 'ok' as status)
         when {0}_local is null or (off is null and {0}_hits is null) then struct(cast(null as bigint) as utc, 'unreadable' as status)
@@ -51,9 +51,12 @@ def _parse(df: DataFrame, zone: str) -> DataFrame:
         num_local=f"case when p[0] = 'n' then {local} end",
         num_utc=f"case when p[0] = 'n' then {utc} end",
     ).drop("p")
-    zone_year = f"case when num_local is not null then year(date_from_unix_date(cast(num_local div {I.DAY_US}L as int))) else y end as zone_year"
+    year = f"case when num_local is not null then year(date_from_unix_date(cast(num_local div {I.DAY_US}L as int))) else y end"
+    parsed = once(once(parsed, local_year=year), zone_year=I.zone_year("local_year"))
+    # how far a year of the table stands in for a later one; the first year's offset holds for all before
+    shift = f"case when local_year = zone_year then 0L else ({I.epoch_days('local_year', '1', '1')} - ({I.epoch_days('zone_year', '1', '1')})) * {I.DAY_US}L end as zone_shift"
     spans = F.broadcast(I.offset_table(df.sparkSession, zone))
-    return parsed.selectExpr("*", zone_year).join(spans, "zone_year", "left")
+    return parsed.selectExpr("*", shift).join(spans, "zone_year", "left")
 
 
 def normalise_instants(df: DataFrame, text_col: str, file_cols: list[str], zone: str = ZONE, salts: int = 32) -> DataFrame:
@@ -64,7 +67,7 @@ def normalise_instants(df: DataFrame, text_col: str, file_cols: list[str], zone:
     same file (the values of `file_cols`) a value is readable day first and not month first.
     Null and empty text is unreadable. Rows without a file are read month first. Repeated rows
     come out as often as they went in; extra columns are kept, but for the working names
-    s, kind, y, m, d, tod, off, num_local, num_utc, zone_year, spans and salt, which are renamed
+    s, kind, y, m, d, tod, off, num_local, num_utc, local_year, zone_year, zone_shift, spans and salt, which are renamed
     away from the input first. Only slashed rows are shuffled, on the file and a salt, so that one
     file may hold any share of them; the orders found are one row a file.
     """

@@ -26,6 +26,23 @@ CASES = [
     ("1er décembre 2022", us(2022, 12, 1, 5), "ok"),
     ("20-May-21", us(2021, 5, 20, 4), "ok"),
     ("Mar 28, 2023 1:20 pm", us(2023, 3, 28, 17, 20), "ok"),
+    ("999999999000", us(2001, 9, 9, 1, 46, 39), "ok"),
+    ("999999999000000", us(2001, 9, 9, 1, 46, 39), "ok"),
+    ("10000000000", us(2286, 11, 20, 17, 46, 40), "ok"),
+    ("9999", us(1927, 5, 17, 4), "ok"),
+    ("59", us(1900, 2, 28, 5), "ok"),
+    ("61", us(1900, 3, 1, 5), "ok"),
+    ("2019", us(2019, 1, 1, 5), "ok"),
+    ("201907", us(2019, 7, 1, 4), "ok"),
+    ("-86400000", us(1967, 4, 7), "ok"),
+    ("-5", None, "unreadable"),
+    ("1899-12-31", us(1899, 12, 31, 5), "ok"),
+    ("1850-01-01", us(1850, 1, 1, 5, 17, 32), "ok"),
+    ("1750-01-01", us(1750, 1, 1, 5, 17, 32), "ok"),
+    ("2101-01-01", us(2101, 1, 1, 5), "ok"),
+    ("2150-07-01", us(2150, 7, 1, 4), "ok"),
+    ("2400-03-12 02:30", None, "nonexistent"),
+    ("2400-11-05 01:30", us(2400, 11, 5, 5, 30), "ambiguous"),
     ("2021-02-30", None, "unreadable"),
     ("13/45/2020", None, "unreadable"),
     ("2020-01-01 25:00", None, "unreadable"),
@@ -54,7 +71,7 @@ def test_empty(spark):
     assert normalise_instants(df, "raw", ["file"]).count() == 0
 
 
-@pytest.mark.parametrize("year,n", [(2019, 3), (1950, 3)])
+@pytest.mark.parametrize("year,n", [(2019, 3), (1950, 3), (2100, 3)])
 def test_intervals_cover_the_year(year, n):
     spans = dict(offset_intervals("America/Toronto"))[year]
     assert len(spans) == n
