@@ -5,8 +5,8 @@ their box in space. Pairs of nodes are compared from the top: those whose boxes
 discarded, those that are certainly near are accepted whole (their descendants are paired without
 any further test), and the rest is opened one level further. Pairs of leaves that are still
 uncertain are refined point by point in distributed tasks. Regions are walked down the same tree:
-nodes outside are discarded, nodes inside accepted whole, and nodes on a border keep only the edges
-that touch them.
+nodes outside are discarded, nodes inside accepted whole at the level they are found, and nodes on a
+border are opened until few edges touch them.
 
 A leaf holds about `leaf` points. Where more points than that share a node of the last level, the
 node is cut into chunks by a hash, so that no task gets an unbounded group; nothing is dropped.
@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,7 +32,7 @@ TOP, LAST, STEP = 12, 22, 2
 
 def _cell(level: int) -> tuple[str, str]:
     n = f"{2**level}D"
-    return f"cast(floor((lon + 180) / 180 * {n}) as int)", f"cast(floor((lat + 90) / 180 * {n}) as int)"
+    return f"cast(pmod(floor((lon + 180) / 180 * {n}), {2 ** (level + 1)}) as int)", f"cast(least(floor((lat + 90) / 180 * {n}), {2**level - 1}) as int)"
 
 
 def with_space(df: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ _NODE = ["lv", "nx", "ny", "n", "leaf", *_BOX]
 
 class Tree:
     """The quadtree of points (id, lat, lon). nodes: (lv, nx, ny, n, leaf, box); points: the points
-    with their leaf (lv, nx, ny) and chunk of k."""
+    with their cell (cx, cy), their leaf (lv, nx, ny) and chunk of k."""
 
     def __init__(self, points: DataFrame, leaf: int = 128):
         self.leaf = leaf
@@ -84,7 +85,7 @@ class Tree:
         a = pts.join(hot, key)
         b = pts.join(hot.select(*key), key, "left_anti").join(at.where(f"n <= {max(total, 1000)} / 1000").drop("n"), key)
         chunk = "pmod(xxhash64(id), k) as chunk"
-        return a.unionByName(b).selectExpr("id", "lat", "lon", "px", "py", "pz", "lv", "nx", "ny", "k", chunk)
+        return a.unionByName(b).selectExpr("id", "lat", "lon", "px", "py", "pz", "cx", "cy", "lv", "nx", "ny", "k", chunk)
 
 
 def _gap(lo: bool) -> str:
@@ -96,28 +97,49 @@ def _gap(lo: bool) -> str:
     return " + ".join(f"pow({e}, 2)" for e in each)
 
 
+def _start_level(nodes: DataFrame, metres: float) -> int:
+    """The finest level, TOP at most, at which points that near stand in the same or neighbouring
+    nodes; 0 where they may be on either side of a pole."""
+    r = EARTH_KM * 1000
+    z = nodes.agg(F.max(F.expr("greatest(abs(loz), abs(hiz))"))).first()[0] or 0.0
+    lat, angle = math.asin(min(1.0, z / r)), metres / r
+    if angle >= math.pi / 2 or math.sin(angle) >= math.cos(lat):
+        return 0
+    wide = max(math.degrees(angle), math.degrees(math.asin(math.sin(angle) / math.cos(lat)))) * (1 + 1e-9)
+    return max([0, *(lv for lv in range(TOP % STEP, TOP + 1, STEP) if 180 / 2**lv >= wide)])
+
+
 def pairs_within(tree: Tree, metres: float) -> DataFrame:
     """(id_a, id_b), id_a < id_b, of all points less than `metres` apart on the sphere.
 
     The chord is compared, which is the same test as the haversine distance. Points at one place
-    are pairs too. No points: no rows. Needs |lat| <= 85 and metres below the width of a top node
-    (about 400 m at 85 degrees, 3 km at 45)."""
+    are pairs too. No points: no rows. Any distance and latitude: the walk starts at the finest
+    level at which only neighbouring nodes can hold such pairs, at the root if need be."""
     r = EARTH_KM * 1000
-    chord2 = (2 * r * math.sin(metres / (2 * r))) ** 2
+    chord2 = (2 * r * math.sin(min(metres / (2 * r), math.pi / 2))) ** 2
     side = lambda p: [F.col(c).alias(f"{p}_{c}") for c in _NODE]
     sides = [f"{p}_{c}" for p in "ab" for c in _NODE]
-    top, wide = tree.nodes.where(f"lv = {TOP}"), 2 ** (TOP + 1)
-    around = top.select(*side("a"), F.expr("explode(array(struct(0 as dx, 0 as dy), struct(1 as dx, 0 as dy), struct(-1 as dx, 1 as dy), struct(0 as dx, 1 as dy), struct(1 as dx, 1 as dy))) as o"))
-    around = around.withColumns({"b_nx": F.expr(f"pmod(a_nx + o.dx, {wide})"), "b_ny": F.expr("a_ny + o.dy")})
-    front = around.join(top.select(*side("b")), ["b_nx", "b_ny"])
+    nodes = tree.nodes
+    start = _start_level(nodes.where(f"lv = {TOP}"), metres)
+    roll = [F.expr(f"{'min' if c[:2] == 'lo' else 'max'}({c})").alias(c) for c in _BOX]
+    for lv in range(TOP - STEP, start - 1, -STEP):
+        over = nodes.where(f"lv = {lv + STEP}").groupBy(F.expr(f"shiftright(nx, {STEP})").alias("nx"), F.expr(f"shiftright(ny, {STEP})").alias("ny")).agg(F.sum("n").alias("n"), *roll)
+        nodes = nodes.unionByName(cut(over.selectExpr(f"{lv} as lv", "nx", "ny", "n", "false as leaf", *_BOX), "over"))
+    top, wide = nodes.where(f"lv = {start}"), 2 ** (start + 1)
+    if start:
+        around = top.select(*side("a"), F.expr("explode(array(struct(0 as dx, 0 as dy), struct(1 as dx, 0 as dy), struct(-1 as dx, 1 as dy), struct(0 as dx, 1 as dy), struct(1 as dx, 1 as dy))) as o"))
+        around = around.withColumns({"b_nx": F.expr(f"pmod(a_nx + o.dx, {wide})"), "b_ny": F.expr("a_ny + o.dy")})
+        front = around.join(top.select(*side("b")), ["b_nx", "b_ny"])
+    else:  # the root has two nodes, one for each half of the globe
+        front = top.select(*side("a")).withColumn("b_nx", F.expr("explode(sequence(a_nx, 1))")).join(top.select(*side("b")), "b_nx")
 
     def judged(f: DataFrame) -> DataFrame:
         f = f.where(f"sure or {_gap(True)} <= {chord2}")
         return f.withColumn("sure", F.expr(f"sure or {_gap(False)} < {chord2}"))
 
     front = cut(judged(front.withColumn("sure", F.lit(False)).select("sure", *sides)), "front")
-    done, kids = front.where("a_leaf and b_leaf"), tree.nodes.where(f"lv > {TOP}")
-    for _ in range(TOP, LAST, STEP):
+    done, kids = front.where("a_leaf and b_leaf"), nodes.where(f"lv > {start}")
+    for _ in range(start, LAST, STEP):
         rest = front.where("not (a_leaf and b_leaf)")
         if rest.isEmpty():
             break
@@ -163,9 +185,11 @@ def _inside(edges: list, x: float, y: float) -> bool:
     return sum((ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax for ax, ay, bx, by in edges) % 2 == 1
 
 
-def _walk(edges: list) -> Iterator[tuple[int, int, bool, list[float]]]:
-    """Nodes of the top level of the tree that a region touches: (nx, ny, whether the middle is
-    inside, the edges that touch the node). Walked down from the whole globe."""
+def _walk(edges: list, most: int = 8) -> Iterator[tuple[int, int, int, bool, list[float]]]:
+    """Nodes that a region touches: (level, nx, ny, whether the middle is inside, the edges that
+    touch the node). Walked down from the whole globe; a node inside is given at its own level, one
+    on the border from the top level of the tree on, and opened further while more than `most` edges
+    touch it, to two levels above the last."""
     todo = [(0, 0, 0, edges), (0, 1, 0, edges)]
     while todo:
         lv, nx, ny, own = todo.pop()
@@ -174,25 +198,25 @@ def _walk(edges: list) -> Iterator[tuple[int, int, bool, list[float]]]:
         own = [e for e in own if _touches(e, x0, y0, x0 + size, y0 + size)]
         if not own:
             if _inside(edges, x0 + size / 2, y0 + size / 2):
-                k = 2 ** (TOP - lv)
-                yield from ((nx * k + i, ny * k + j, True, []) for i in range(k) for j in range(k))
-        elif lv == TOP:
-            yield nx, ny, _inside(edges, x0 + size / 2, y0 + size / 2), [v for e in own for v in e]
+                yield lv, nx, ny, True, []
+        elif lv >= TOP and (len(own) <= most or lv >= LAST - 2):
+            yield lv, nx, ny, _inside(edges, x0 + size / 2, y0 + size / 2), [v for e in own for v in e]
         else:
             todo += [(lv + 1, 2 * nx + i, 2 * ny + j, own) for i in (0, 1) for j in (0, 1)]
 
 
 def region_nodes(regions: DataFrame) -> DataFrame:
-    """(region_id, nx, ny, mid, edges) of regions (region_id, geometry)."""
+    """(region_id, rlv, rx, ry, mid, edges) of regions (region_id, geometry)."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["region_id", "rlv", "rx", "ry", "mid", "edges"]
         for batch in batches:
             for r in batch.itertuples(index=False):
-                rows = [(r.region_id, *node) for node in _walk(_edges(r.geometry))]
-                if rows:
-                    yield pd.DataFrame(rows, columns=["region_id", "nx", "ny", "mid", "edges"])
+                nodes = _walk(_edges(r.geometry))
+                while rows := [(r.region_id, *node) for node in islice(nodes, 10_000)]:
+                    yield pd.DataFrame(rows, columns=names)
 
-    return regions.select("region_id", "geometry").mapInPandas(walk, "region_id bigint, nx int, ny int, mid boolean, edges array<double>")
+    return regions.select("region_id", "geometry").mapInPandas(walk, "region_id bigint, rlv int, rx int, ry int, mid boolean, edges array<double>")
 
 
 def points_in_regions(tree: Tree, regions: DataFrame) -> DataFrame:
@@ -200,12 +224,15 @@ def points_in_regions(tree: Tree, regions: DataFrame) -> DataFrame:
 
     Null or unreadable geometries contain nothing. In a node without edges all points are accepted
     whole; in others the way from the point to the middle of the node is checked against the edges
-    that touch the node."""
-    leaves = tree.nodes.where("leaf").selectExpr("lv", "nx as x", "ny as y", f"shiftright(nx, lv - {TOP}) as nx", f"shiftright(ny, lv - {TOP}) as ny", f"explode(sequence(0L, cast(ceil(n / {tree.leaf}D) as bigint) - 1)) as chunk")
-    hit = leaves.join(region_nodes(regions), ["nx", "ny"]).withColumnsRenamed({"nx": "tx", "ny": "ty", "x": "nx", "y": "ny"})
-    size = 180 / 2**TOP
-    at = tree.points.select("id", "lat", "lon", "lv", "nx", "ny", "chunk").join(hit, ["lv", "nx", "ny", "chunk"])
-    at = at.selectExpr("id", "region_id", "lat", "lon", "mid", "edges", f"(tx + 0.5D) * {size!r}D - 180 as qx", f"(ty + 0.5D) * {size!r}D - 90 as qy")
+    that touch the node. A leaf meets the nodes of regions above it, itself, and below it."""
+    chunks = f"explode(sequence(0L, cast(ceil(n / {tree.leaf}D) as bigint) - 1)) as chunk"
+    leaves, found = tree.nodes.where("leaf").select("lv", "nx", "ny", "n"), cut(region_nodes(regions), "regions")
+    above = leaves.selectExpr("*", "explode(sequence(0, lv)) as up").selectExpr("lv", "nx", "ny", "n", "lv - up as rlv", "shiftright(nx, up) as rx", "shiftright(ny, up) as ry").join(found, ["rlv", "rx", "ry"])
+    below = found.where(f"rlv > {TOP}").selectExpr("*", f"explode(sequence({TOP}, rlv - 1, {STEP})) as lv").selectExpr("*", "shiftright(rx, rlv - lv) as nx", "shiftright(ry, rlv - lv) as ny")
+    hit = above.unionByName(below.join(leaves, ["lv", "nx", "ny"])).selectExpr("region_id", "rlv", "rx", "ry", "mid", "edges", "lv", "nx", "ny", chunks)
+    at = tree.points.select("id", "lat", "lon", "cx", "cy", "lv", "nx", "ny", "chunk").join(hit, ["lv", "nx", "ny", "chunk"])
+    at = at.where(f"shiftright(cx, {LAST} - rlv) = rx and shiftright(cy, {LAST} - rlv) = ry")
+    at = at.selectExpr("id", "region_id", "lat", "lon", "mid", "edges", "(rx + 0.5D) * 180 / shiftleft(1, rlv) - 180 as qx", "(ry + 0.5D) * 180 / shiftleft(1, rlv) - 90 as qy")
     # an edge (a, b) and the way (p, q) cross if each has its ends on both sides of the other
     e = [f"edges[4 * i + {k}]" for k in range(4)]
     side = lambda x, y: f"(qx - lon) * ({y} - lat) - (qy - lat) * ({x} - lon) >= 0"

@@ -70,3 +70,28 @@ def test_empty(spark):
     tree = Tree(spark.createDataFrame([], "id bigint, lat double, lon double"))
     assert pairs_within(tree, 30.0).count() == 0
     assert points_in_regions(tree, spark.createDataFrame([], "region_id bigint, geometry string")).count() == 0
+
+
+@pytest.mark.parametrize("lat,spread,radius", [(44, 0.4, 25_000), (89.97, 0.02, 3_000), (-89.999, 0.001, 30), (0, 40, 3_000_000), (86, 0.3, 900)])
+def test_any_radius_and_latitude(spark, lat, spread, radius):
+    random.seed(11)
+    wide = 360 if abs(lat) > 89 else spread
+    pts = [(i, max(-90.0, min(90.0, lat + random.uniform(-spread, spread))), (179.9 + random.uniform(-wide, wide) + 180) % 360 - 180) for i in range(120)]
+    pts += [(200, 90.0, 10.0), (201, -90.0, -170.0), (202, lat, 180.0), (203, lat, -180.0)]
+    tree = Tree(spark.createDataFrame([(i, float(a), float(b)) for i, a, b in pts], "id bigint, lat double, lon double"), leaf=8)
+    got = [(r[0], r[1]) for r in pairs_within(tree, radius).collect()]
+    want = {(a[0], b[0]) for i, a in enumerate(pts) for b in pts[i + 1 :] if metres(a[1:], b[1:]) < radius}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_region_with_many_edges_and_a_wide_one(spark):
+    random.seed(4)
+    ring = [[-80 + (0.02 + 0.01 * random.random()) * math.cos(t / 400 * math.tau), 44 + (0.02 + 0.01 * random.random()) * math.sin(t / 400 * math.tau)] for t in range(400)]
+    ring.append(ring[0])
+    wide = [[-130.0, 25.0], [-60.0, 25.0], [-60.0, 60.0], [-130.0, 60.0], [-130.0, 25.0]]
+    regions = [(1, json.dumps({"type": "Polygon", "coordinates": [ring]})), (2, json.dumps({"type": "Polygon", "coordinates": [wide]}))]
+    pts = [(i, 44 + random.uniform(-0.035, 0.035), -80 + random.uniform(-0.035, 0.035)) for i in range(600)] + [(700, 10.0, -80.0), (701, 59.9, -129.9)]
+    tree = Tree(spark.createDataFrame(pts, "id bigint, lat double, lon double"), leaf=8)
+    got = sorted((r[0], r[1]) for r in points_in_regions(tree, spark.createDataFrame(regions, "region_id bigint, geometry string")).collect())
+    inside = lambda poly, x, y: sum((a[1] > y) != (b[1] > y) and x < (b[0] - a[0]) * (y - a[1]) / (b[1] - a[1]) + a[0] for a, b in zip(poly, poly[1:])) % 2 == 1  # noqa: B905, E731
+    assert got == sorted((i, k) for i, lat, lon in pts for k, poly in ((1, ring), (2, wide)) if inside(poly, lon, lat))
