@@ -8,7 +8,9 @@ rescued values are replayed into typed columns.
 
 Establishments are found without knowing which field identifies them: two records of neighbouring
 files are linked if they share two identifying values, that is values of five characters or more
-that stand in at most two records of each of the files.
+that stand in at most two records of each of the files. Where that links less than a tenth of the
+smaller file, values in up to 8, 32, 128 and so on records count as well, until enough are linked or
+every value counts that stands in no more than a hundredth of the file.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cedarloom.functions.rows import once
 from cedarloom.functions.values import is_null_marker
 from cedarloom.io import cut
 
@@ -28,23 +31,27 @@ def fields_of(records: DataFrame) -> DataFrame:
     field of each record. value is the same for one datum of different type (days as seconds since 1970 or
     month/day/year, yes and no, numbers as text); it is null, and so is json_type, for null markers. Records
     that are null or no JSON object have no rows."""
-    records.select("raw_id", *FILE, "original").createOrReplaceTempView("_cedarloom_raw")
     raw = records.sparkSession.sql(
         f"""select raw_id, {", ".join(FILE)}, key as field_name, variant_get(value, '$', 'string') as v, schema_of_variant(value) as t
-        from (select *, try_parse_json(original) as doc from _cedarloom_raw), lateral variant_explode(doc)"""
+        from (select raw_id, {", ".join(FILE)}, try_parse_json(original) as doc from {{records}}), lateral variant_explode(doc)""",
+        records=records,
     )
     raw = raw.withColumn(
         "json_type",
         F.expr(f"""case when v is null or (t = 'STRING' and {is_null_marker('v')}) then null when t = 'STRING' then 'string' when t = 'BOOLEAN' then 'boolean'
         when t = 'BIGINT' or t rlike '^DECIMAL\\\\((19|[23][0-9]),0\\\\)$' then 'integer' when t rlike '^(DECIMAL|DOUBLE|FLOAT)' then 'number' else 'other' end"""),
     )
-    number = "trim(v) rlike r'^[+-]?[0-9]+([.][0-9]+)?$'"
-    value = f"""case when json_type is null then null
-        when trim(v) rlike '^[0-9]{{9,10}}$' and try_cast(trim(v) as bigint) % 86400 = 0 then cast(date_from_unix_date(cast(try_cast(trim(v) as bigint) div 86400 as int)) as string)
-        when trim(v) rlike '^[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}$' then coalesce(cast(try_to_date(trim(v), 'M/d/yyyy') as string), trim(v))
-        when {number} then regexp_replace(regexp_replace(trim(v), r'^[+]', ''), r'[.]0+$|([.][0-9]*[1-9])0+$', '$1')
-        when lower(trim(v)) in ('y', 'yes') then 'true' when lower(trim(v)) in ('n', 'no') then 'false' else lower(trim(v)) end"""
-    return raw.selectExpr("raw_id", *FILE, "field_name", f"{value} as value", "json_type", "v as raw_value")
+    return raw.selectExpr("raw_id", *FILE, "field_name", f"case when json_type is not null then {normal('v')} end as value", "json_type", "v as raw_value")
+
+
+def normal(v: str) -> str:
+    """SQL: the one form of a datum whatever its type was: days as dates, yes and no as true and
+    false, numbers without what adds nothing, all else trimmed and in lower case."""
+    t = f"trim({v})"
+    return f"""case when {t} rlike '^[0-9]{{9,10}}$' and try_cast({t} as bigint) % 86400 = 0 then cast(date_from_unix_date(cast(try_cast({t} as bigint) div 86400 as int)) as string)
+        when {t} rlike '^[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}$' then coalesce(cast(try_to_date({t}, 'M/d/yyyy') as string), {t})
+        when {t} rlike r'^[+-]?[0-9]+([.][0-9]+)?$' then regexp_replace(regexp_replace({t}, r'^[+]', ''), r'[.]0+$|([.][0-9]*[1-9])0+$', '$1')
+        when lower({t}) in ('y', 'yes') then 'true' when lower({t}) in ('n', 'no') then 'false' else lower({t}) end"""
 
 
 def file_schemas(fields: DataFrame) -> DataFrame:
@@ -82,15 +89,30 @@ def renames(fields: DataFrame, left: DataFrame) -> DataFrame:
     pair = went.join(came, [*FILE, "before_seq"])
     need = cut(pair.select("dataset_id", "file_seq", "before_seq").distinct(), "changed")
 
-    def seen(seq: str) -> DataFrame:
+    def seen(need: DataFrame, seq: str, most: int) -> DataFrame:
         """Identifying values of the later (file_seq) or earlier (before_seq) file of a change."""
-        own = fields.where("length(value) >= 5").join(need.selectExpr("dataset_id", f"{seq} as file_seq", "file_seq as at_seq"), ["dataset_id", "file_seq"])
-        one = own.groupBy("dataset_id", "at_seq", "value").agg(F.min("raw_id").alias("a"), F.max("raw_id").alias("b"), F.count_distinct("raw_id").alias("n"))
-        return one.where("n <= 2").selectExpr("dataset_id", "at_seq", "value", "explode(array_distinct(array(a, b))) as id")
-
-    now, old = seen("file_seq").withColumnRenamed("id", "new_id"), seen("before_seq").withColumnRenamed("id", "old_id")
-    link = now.join(old, ["dataset_id", "at_seq", "value"]).groupBy("dataset_id", "at_seq", "old_id", "new_id").agg(F.count("*").alias("shared")).where("shared >= 2")
-    link = cut(link.withColumnRenamed("at_seq", "file_seq"), "links")
+        own = fields.where("length(value) >= 5").join(need.selectExpr("dataset_id", f"{seq} as file_seq", "file_seq as at_seq"), ["dataset_id", "file_seq"]).select("dataset_id", "at_seq", "value", "raw_id")
+        one = own.groupBy("dataset_id", "at_seq", "value").agg(F.min("raw_id").alias("a"), F.max("raw_id").alias("b"), F.count_distinct("raw_id").alias("n")).where(f"n <= {most}")
+        if most <= 2:
+            return one.selectExpr("dataset_id", "at_seq", "value", "explode(array_distinct(array(a, b))) as id")
+        return own.withColumnRenamed("raw_id", "id").join(one.select("dataset_id", "at_seq", "value"), ["dataset_id", "at_seq", "value"]).distinct()
+
+    def linked(need: DataFrame, most: int) -> DataFrame:
+        now, old = seen(need, "file_seq", most).withColumnRenamed("id", "new_id"), seen(need, "before_seq", most).withColumnRenamed("id", "old_id")
+        pairs = now.join(old, ["dataset_id", "at_seq", "value"]).groupBy("dataset_id", "at_seq", "old_id", "new_id").agg(F.count("*").alias("shared")).where("shared >= 2")
+        return cut(pairs.withColumnRenamed("at_seq", "file_seq"), "links")
+
+    sizes = fields.groupBy("dataset_id", "file_seq").agg(F.count_distinct("raw_id").alias("size"))
+    need = need.join(sizes, ["dataset_id", "file_seq"]).join(sizes.selectExpr("dataset_id", "file_seq as before_seq", "size as before_size"), ["dataset_id", "before_seq"])
+    need = cut(need.selectExpr("dataset_id", "file_seq", "before_seq", "least(size, before_size) as size"), "changed")
+    link, most = linked(need, 2), 2
+    while True:
+        got = link.groupBy("dataset_id", "file_seq").agg(F.count_distinct("new_id").alias("links"))
+        need = cut(need.join(got, ["dataset_id", "file_seq"], "left").where(f"coalesce(links, 0) < size / 10 and {4 * most} <= size / 100").drop("links"), "changed")
+        if need.isEmpty():
+            break
+        most *= 4
+        link = link.join(need, ["dataset_id", "file_seq"], "left_anti").unionByName(linked(need, most))
     filled = fields.where("value is not null")
     a = filled.join(went, on=[filled.dataset_id == went.dataset_id, filled.file_seq == went.before_seq, filled.field_name == went.old_name]).select(
         went.dataset_id, went.file_seq, F.col("raw_id").alias("old_id"), "old_name", F.col("value").alias("old_value")
@@ -118,7 +140,7 @@ class Drift:
     results; repeated and late records count once for names and types."""
 
     def __init__(self, records: DataFrame):
-        self.fields = fields_of(records)
+        self.fields = cut(fields_of(records), "fields")
         self.schemas = cut(file_schemas(self.fields), "schemas")
         self.left = cut(rescued(self.schemas, files_before(records)), "rescued")
         self.renamed = cut(renames(self.fields, self.left), "renames")
@@ -163,9 +185,9 @@ class Drift:
 # The consistent table: column, type, and the names (lower case, letters and digits only) that are
 # approved for it. A field whose lineage has an approved name is promoted under all its names.
 TARGET = [
-    ("establishment_id", "bigint", ["establishmentid", "estid"]),
+    ("establishment_id", "bigint", ["establishmentid", "estid", "premiseno"]),
     ("establishment_name", "string", ["establishmentname", "estname", "name"]),
-    ("street_no", "string", ["streetno", "streetnumber", "civicno", "premiseno"]),
+    ("street_no", "string", ["streetno", "streetnumber", "civicno"]),
     ("street_name", "string", ["streetname", "thoroughfare"]),
     ("postal_code", "string", ["postalcode", "pcode"]),
     ("ward", "int", ["ward", "wardno", "districtno"]),
@@ -183,12 +205,16 @@ TARGET = [
 ]
 
 
-def one_table(records: DataFrame, drift: Drift, salts: int = 32) -> DataFrame:
-    """All records under the target schema: raw_id, dataset_id, source_file, the target columns, and
-    rescued: JSON of the fields that are not promoted or can't be cast. No record is dropped; one
-    that is no JSON object has nulls and, as rescued, its text."""
+def one_table(records: DataFrame, drift: Drift, salts: int = 32, target: list[tuple[str, str, list[str]]] = TARGET) -> DataFrame:
+    """All records under the target schema: raw_id, dataset_id, source_file, the columns of target
+    (column, type, approved names in lower case, letters and digits only), and rescued: JSON of the
+    fields that are not promoted or can't be cast. Rescued values are replayed in the form they
+    have in fields_of, so that a date in any of its notations comes to the date column. No record is
+    dropped; one that is no JSON object has nulls and, as rescued, its text. Where names of one
+    lineage are approved for different columns the earliest file's name decides, so that a column
+    keeps its meaning over time."""
     bare = "regexp_replace(lower(field_name), '[^a-z0-9]', '')"
-    names = ", ".join(f"'{a}', '{c}'" for c, _, al in TARGET for a in al)
+    names = ", ".join(f"'{a}', '{c}'" for c, _, al in target for a in al)
     line = drift.lineages().withColumn("target", F.expr(f"try_element_at(map({names}), {bare})"))
     root = ["dataset_id", "root_seq", "root_name"]
     of_root = line.where("target is not null").groupBy(*root).agg(F.min(F.struct("file_seq", "target")).alias("t")).selectExpr(*root, "t.target as promoted")
@@ -201,10 +227,15 @@ def one_table(records: DataFrame, drift: Drift, salts: int = 32) -> DataFrame:
     at = at.withColumn("doc", F.expr(clean)).withColumn("names", F.expr("coalesce(names, cast(map() as map<string,string>))"))
     # target -> value; where two fields claim a target the first that has a value is taken
     got = lambda c: f"get(filter(map_values(map_filter(doc, (k, v) -> try_element_at(names, k) = '{c}')), v -> v is not null), 0)"
-    typed = [f"try_cast({got(c)} as {t}) as {c}" for c, t, _ in TARGET]
-    types = ", ".join(f"'{c}', '{t}'" for c, t, _ in TARGET)
+    # what is no date (number, boolean) as it stands is replayed in its normal form
+    cast = lambda v, t: v if t == "string" else f"coalesce(try_cast({v} as {t}), try_cast({normal(v)} as {t}))"
+    at = once(at, **{f"_{c}": got(c) for c, _, _ in target})
+    typed = [f"{cast(f'_{c}', t)} as {c}" for c, t, _ in target]
+    types = ", ".join(f"'{c}', '{t}'" for c, t, _ in target)
     kind = f"try_element_at(map({types}), try_element_at(names, k))"
-    bad = f"""v is not null and ({kind} is null or ({kind} in ('int', 'bigint') and try_cast(v as bigint) is null) or ({kind} = 'double' and try_cast(v as double) is null)
-        or ({kind} = 'boolean' and try_cast(v as boolean) is null) or ({kind} = 'date' and try_cast(v as date) is null))"""
+    other = sorted({t for _, t, _ in target} - {"string"})
+    taken = "map(" + ", ".join(f"'{c}', _{c}" for c, _, _ in target) + ")"
+    # a second field for a column whose value is not the one taken is rescued too
+    bad = f"v is not null and ({kind} is null or v != try_element_at({taken}, try_element_at(names, k)) " + "".join(f"or ({kind} = '{t}' and {cast('v', t)} is null) " for t in other) + ")"
     rescue = f"case when doc is null or try_parse_json(original) is null then original when size(map_filter(doc, (k, v) -> {bad})) > 0 then to_json(map_filter(doc, (k, v) -> {bad})) end as rescued"
     return at.selectExpr("raw_id", "dataset_id", "source_file", *typed, rescue)
