@@ -3,9 +3,9 @@
 Method: entropy balancing. The rates of the documents are the ones nearest to uniform, in relative
 entropy, under which each source contributes its share of the tokens: exponentially tilted in the
 size of the document and cut at the source's cap. The convex dual has one unknown a source; Newton
-steps solve it, each a distributed aggregation of one row a source. Rates are then rounded into
-copies by systematic selection along the sizes, so that a source misses its tokens by about one
-document at most.
+steps solve it, each a distributed aggregation of one row a source over the histogram of sizes, which
+is all the sums need. Rates are then rounded into copies by systematic selection along the sizes;
+what a source is short of or over by is then taken up by single documents of about that size.
 """
 
 from __future__ import annotations
@@ -20,17 +20,17 @@ from cedarloom.io import cut
 STEPS, TOLERANCE = 60, 1e-9
 
 
-def _solve(docs: DataFrame, goal: dict[str, float], cap: dict[str, float], mean: dict[str, float]) -> dict[str, float]:
+def _solve(sizes: DataFrame, goal: dict[str, float], cap: dict[str, float], mean: dict[str, float]) -> dict[str, float]:
     """The tilt of each source: sum of t * min(cap, exp(tilt * t / mean)) = goal."""
     tilt, low, high = dict.fromkeys(goal, 0.0), dict.fromkeys(goal, -math.inf), dict.fromkeys(goal, math.inf)
     todo = set(goal)
-    spark = docs.sparkSession
+    spark = sizes.sparkSession
     for _ in range(STEPS):
         if not todo:
             break
         now = spark.createDataFrame([(s, tilt[s], cap[s], mean[s]) for s in sorted(todo)], "source string, tilt double, cap double, mean double")
-        at = docs.join(F.broadcast(now), "source").selectExpr("source", "n_tokens as t", "mean", "cap", "least(exp(least(tilt * n_tokens / mean, 700D)), cap) as w")
-        sums = at.groupBy("source").agg(F.sum(F.expr("t * w")).alias("got"), F.sum(F.expr("case when w < cap then t * t / mean * w else 0 end")).alias("slope")).collect()
+        at = sizes.join(F.broadcast(now), "source").selectExpr("source", "n_tokens as t", "n", "mean", "cap", "least(exp(least(tilt * n_tokens / mean, 700D)), cap) as w")
+        sums = at.groupBy("source").agg(F.sum(F.expr("n * t * w")).alias("got"), F.sum(F.expr("case when w < cap then n * t * t / mean * w else 0 end")).alias("slope")).collect()
         for r in sums:  # one row a source of the parameter table
             s, gap = r["source"], r["got"] - goal[r["source"]]
             if abs(gap) <= TOLERANCE * max(goal[s], 1):
@@ -53,7 +53,8 @@ def plan(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None)
     (doc_id, source, n_tokens). The shares of sources without documents are dealt to the others in
     proportion. Without total_tokens the total is the largest that lets every source keep its share
     within its cap. A target table is a parameter: one row a source, collected here."""
-    have = docs.where("n_tokens > 0").groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
+    sizes = cut(docs.where("n_tokens > 0").groupBy("source", "n_tokens").agg(F.count("*").alias("n")), "histogram")
+    have = sizes.groupBy("source").agg(F.sum(F.expr("n * n_tokens")).alias("tokens"), F.sum("n").alias("docs"))
     rows = targets.where("target_share > 0 and max_repeats >= 1").join(have, "source").collect()
     spark = docs.sparkSession
     schema = "source string, target_share double, goal double, tilt double, cap double, mean double"
@@ -65,7 +66,7 @@ def plan(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None)
     goal = {s: share[s] * total for s in share}
     cap, mean = {r["source"]: float(r["max_repeats"]) for r in rows}, {r["source"]: r["tokens"] / r["docs"] for r in rows}
     free = {s: g for s, g in goal.items() if g < most[s] * (1 - 1e-12)}
-    tilt = _solve(docs.where("n_tokens > 0"), free, cap, mean)
+    tilt = _solve(sizes, free, cap, mean)
     return spark.createDataFrame([(s, share[s], goal[s], tilt.get(s, 1e6), cap[s], mean[s]) for s in sorted(share)], schema)
 
 
@@ -82,12 +83,34 @@ def mixed(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None
     at = cut(at, "rates")
     # running sum of the rates along size: over the bands and parts, then within each; in decimals,
     # so that it doesn't depend on the order of the additions
-    cell = ["source", "band", "part"]
-    sums = at.groupBy(*cell).agg(F.sum("rate").alias("s"))
-    before = sums.selectExpr(*cell, "sum(s) over (partition by source order by band, part) - s as before")
-    run = at.join(before, cell).selectExpr("doc_id", "source", "n_tokens", "cap", "rate", "before + sum(rate) over (partition by source, band, part order by n_tokens, doc_id rows unbounded preceding) as upto")
+    at = at.withColumn("block", F.expr("part div 1000"))
+    cells = cut(at.groupBy("source", "band", "block", "part").agg(F.sum("rate").alias("s")), "cells")
+    # sums before each band, each block of a band, each part of a block: no window holds more than
+    # the bands, the blocks of one band, or a thousand parts
+    blocks = cells.groupBy("source", "band", "block").agg(F.sum("s").alias("s"))
+    bands = blocks.groupBy("source", "band").agg(F.sum("s").alias("s")).selectExpr("source", "band", "sum(s) over (partition by source order by band) - s as b1")
+    blocks = blocks.selectExpr("source", "band", "block", "sum(s) over (partition by source, band order by block) - s as b2")
+    before = cells.selectExpr("source", "band", "block", "part", "sum(s) over (partition by source, band, block order by part) - s as b3").join(blocks, ["source", "band", "block"]).join(bands, ["source", "band"])
+    before = before.selectExpr("source", "band", "part", "cast(b1 + b2 + b3 as decimal(38,9)) as before")
+    run = at.join(before, ["source", "band", "part"]).selectExpr("doc_id", "source", "n_tokens", "cap", "rate", "before + sum(rate) over (partition by source, band, part order by n_tokens, doc_id rows unbounded preceding) as upto")
     copies = "cast(least(floor(upto + 0.5) - floor(upto - rate + 0.5), cap) as int) as copies"
-    return run.selectExpr("doc_id", "source", "n_tokens", "rate", copies).where("copies > 0")
+    run = cut(run.selectExpr("doc_id", "source", "n_tokens", "rate", "cap", "upto", copies), "rounded")
+    return _evened(run, rates).where("copies > 0").select("doc_id", "source", "n_tokens", "rate", "copies")
+
+
+def _evened(run: DataFrame, rates: DataFrame, rounds: int = 3) -> DataFrame:
+    """The rounded copies, with the tokens a source is short of (or over by) made up by one copy more
+    (or less) of the document nearest to them in size; repeated while that brings it nearer. upto is
+    the place of a row in its source."""
+    for _ in range(rounds):
+        gap = run.groupBy("source").agg(F.sum(F.expr("n_tokens * copies")).alias("got")).join(rates.select("source", "goal"), "source").selectExpr("source", "goal - got as gap")
+        own = run.join(F.broadcast(gap), "source").where("case when gap > 0 then copies < cap and rate > 0 else copies > 0 end")
+        near = own.where("abs(n_tokens - abs(gap)) < abs(gap)").groupBy("source").agg(F.min(F.struct(F.expr("abs(n_tokens - abs(gap))"), "doc_id", "upto", F.expr("cast(sign(gap) as int) as step"))).alias("m"))
+        near = cut(near.selectExpr("source", "m.doc_id as doc_id", "m.upto as upto", "m.step as step"), "evened")  # a row a source of the targets
+        if near.isEmpty():
+            break
+        run = run.join(F.broadcast(near), ["source", "doc_id", "upto"], "left").withColumn("copies", F.expr("copies + coalesce(step, 0)")).drop("step")
+    return run
 
 
 def mix_report(taken: DataFrame, targets: DataFrame) -> DataFrame:
