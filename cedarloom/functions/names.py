@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import re
 
-from cedarloom.functions.rules import FIELD_NAMES, FORMAT_SUFFIXES, SEARCH_NAMES
+from cedarloom.functions.rules import FIELD_NAMES, FORMAT_SUFFIXES, SEARCH_NAMES, SEARCH_SPELT
 
+# Years, versions and mentions of a format in names.
 YEAR = r"[_\-\s]?((?:19|20)\d{2})(?:[_\-\s]|$)"
 VERSION = r"[_\-\s]?v?\d+(?:\.\d+)?(?:[_\-\s]|$)"
 _FORMAT_PARENS = r"(?i)\s*\((csv|json|xml|xlsx|xls|txt|zip|shp)\)"
@@ -44,15 +45,12 @@ def store_name(name: str) -> str:
 
 
 def search_name(name: str) -> str:
-    """The name of a field in the search layer; others keep their case."""
-    known = SEARCH_NAMES.get(name.lower())
-    if known or name.lower() in ("name",):
-        return known or ("estName" if name in ("Name", "NAME") else name)
-    s = re.sub(r"[ \-/]", "_", name)
-    s = re.sub(r"[.()]", "", s).replace("+", "_plus_")
-    s = re.sub(r"_+", "_", s)
-    # spellings in capitals or with a capital for each word are one field
-    return s.lower() if re.fullmatch(r"[A-Z][A-Za-z0-9]*(?:_[A-Za-z0-9]+)*", s) and ("_" in s or s.isupper() or s.istitle()) else s
+    """The name of a field in the search layer; names that are not known keep their case."""
+    if name in SEARCH_NAMES:
+        return SEARCH_NAMES[name]
+    if name.lower() in SEARCH_SPELT and name[:1].isupper():
+        return name.lower()
+    return re.sub(r"[.()]", "", re.sub(r"[ \-/]", "_", name)).replace("+", "_plus_")
 
 
 def mapping_name(name: str) -> str:
@@ -107,6 +105,10 @@ def base_path(url: str) -> str:
     return f"{scheme}://{host}{path}" + ("?" + "&".join(keep) if keep else "")
 
 
+# Parts of a path that tell nothing.
+UNTELLING = ["members", "api", "data", "export", "en", "fr"]
+
+
 def file_name(url: str, fmt: str) -> str | None:
     """A file name for what a URL gives: the part before a format name, the last part's stem, or the
     last three telling parts of the path; None if none tells."""
@@ -123,6 +125,11 @@ def file_name(url: str, fmt: str) -> str | None:
         return f"{last.lower()}.{fmt}"
     tell: list[str] = []
     for p in (p.lower() for p in parts):
-        if p not in ("members", "api", "data", "export", "en", "fr", fmt) and (tell or not p.isdigit()):
+        if p not in (*UNTELLING, fmt) and (tell or not p.isdigit()):
             tell.append(p)
     return f"{'_'.join(tell[-3:])}.{fmt}" if tell else None
+
+
+def names_match(a: str, b: str) -> str:
+    """SQL: whether two resource names are one but for mentions of a format."""
+    return f"{resource_name_sql(a)} = {resource_name_sql(b)}"

@@ -118,17 +118,28 @@ FIELD_NAMES = {
     "Long": "longitude",
 }
 
-# Search names of fields, by their snake case form (of any case).
+# Search names of fields, exactly as they are spelt.
 SEARCH_NAMES = {
-    "addr_full": "addrFull", "address_full": "addrFull", "full_address": "addrFull",
-    "establishment_name": "estName", "est_name": "estName",
-    "inspection_date": "insDate", "ins_date": "insDate", "inspection_status": "insStatus", "ins_status": "insStatus",
-    "infraction_type": "infType", "infraction_category": "infCategory",
-    "deficiency_desc": "defDesc", "deficiency_description": "defDesc",
-    "e_coli": "eColi", "ecoli": "eColi", "e.coli": "eColi",
-    "beach_name": "beachName", "site_name": "siteName", "collection_date": "collectionDate",
-    "date_of_registration": "registration_date", "street_no.": "street_no",
+    "addr_full": "addrFull", "address_full": "addrFull", "full_address": "addrFull", "ADDR_FULL": "addrFull", "ADDRESS": "address",
+    "Street_No.": "street_no",
+    "establishment_name": "estName", "est_name": "estName", "Establishment_Name": "estName", "ESTABLISHMENT_NAME": "estName", "Name": "estName", "NAME": "estName",
+    "inspection_date": "insDate", "ins_date": "insDate", "Inspection_Date": "insDate", "INSPECTION_DATE": "insDate",
+    "inspection_status": "insStatus", "ins_status": "insStatus", "Inspection_Status": "insStatus", "INSPECTION_STATUS": "insStatus",
+    "infraction_type": "infType", "Infraction_Type": "infType", "infraction_category": "infCategory", "Infraction_Category": "infCategory",
+    "deficiency_desc": "defDesc", "Deficiency_Description": "defDesc",
+    "e_coli": "eColi", "ecoli": "eColi", "E_Coli": "eColi", "E.Coli": "eColi", "ECOLI": "eColi",
+    "Beach_Name": "beachName", "beach_name": "beachName", "BEACH_NAME": "beachName", "Site_Name": "siteName", "site_name": "siteName", "SITE_NAME": "siteName",
+    "Collection_Date": "collectionDate", "collection_date": "collectionDate", "COLLECTION_DATE": "collectionDate",
+    "Three_+_Bedroom_Units": "three_plus_bedroom_units", "Three_+_Bedroom_Units_Pct": "three_plus_bedroom_units_pct", "Date_of_Registration": "registration_date",
 }
+# Fields whose spellings in capitals, or with a capital for each word, are the same field.
+SEARCH_SPELT = [
+    "street_name", "street_no", "postal_code", "ward", "neighbourhood", "year", "total_units", "bachelor_units", "one_bedroom_units", "two_bedroom_units",
+    "three_plus_bedroom_units", "commercial_units", "bachelor_units_pct", "one_bedroom_units_pct", "two_bedroom_units_pct", "three_plus_bedroom_units_pct",
+    "registration_date", "condo_plan_no", "intersection", "street_1", "street_2", "traffic_volume", "speed_limit", "direction", "incident_type", "offence",
+    "division", "occurrence_date", "reported_date", "premises_type", "crime_type", "mci_category", "park_name", "facility_type", "asset_type", "business_name",
+    "business_type", "license_type", "license_status", "permit_type", "permit_status", "permit_number", "issue_date", "expiry_date",
+]
 
 # Best first.
 FORMAT_PRIORITY = ["datastore", "json", "geojson", "csv", "xlsx", "xls", "xml", "txt", "zip", "shp"]

@@ -23,12 +23,12 @@ def fields(records: DataFrame, source: str = "source_file", record: str = "recor
     """(path, value VARIANT, source, seq): every field of every record; objects are recorded and
     opened, down to `depth` levels."""
     spark = records.sparkSession
-    records.selectExpr(f"`{source}` as source", f"`{record}` as v", "xxhash64(to_json(" + f"`{record}`" + ")) as seq").createOrReplaceTempView("_cedarloom_records")
-    level = spark.sql("select source, seq, key as path, value as v from _cedarloom_records, lateral variant_explode(v)")
+    own = records.selectExpr(f"`{source}` as source", f"`{record}` as v", "xxhash64(to_json(" + f"`{record}`" + ")) as seq")
+    level = spark.sql("select source, seq, key as path, value as v from {own}, lateral variant_explode(v)", own=own)
     out = level
     for _ in range(depth - 1):
-        level.where("schema_of_variant(v) like 'OBJECT%'").createOrReplaceTempView("_cedarloom_level")
-        level = spark.sql("select source, seq, concat(path, '.', key) as path, value as v from _cedarloom_level, lateral variant_explode(_cedarloom_level.v)")
+        opened = level.where("schema_of_variant(v) like 'OBJECT%'").withColumnRenamed("v", "doc")
+        level = spark.sql("select source, seq, concat(path, '.', key) as path, value as v from {opened}, lateral variant_explode(doc)", opened=opened)
         out = out.unionByName(level)
     return out
 
@@ -45,7 +45,9 @@ def field_types(found: DataFrame) -> DataFrame:
     at = found.selectExpr("path", "source", "seq", f"{text} as s", f"{kind} as k", "try_variant_get(v, '$.lat', 'string') is not null and try_variant_get(v, '$.lon', 'string') is not null as pt",
         "(size(try_variant_get(v, '$', 'array<double>')) = 2 and not exists(try_variant_get(v, '$', 'array<double>'), x -> x is null)) as pair", "try_variant_get(v, '$.type', 'string') is not null and try_variant_get(v, '$.coordinates', 'string') is not null as shape")
     full = at.where("k != 'VOID' and coalesce(s, '') != ''")
-    ranked = full.selectExpr("*", "row_number() over (partition by path order by seq, s) as rn").where(f"rn <= {SAMPLE}")
+    # the first values of each part of a field, then the first of those: no window holds a whole field
+    part = full.selectExpr("*", "pmod(xxhash64(seq, s), 512) as part").selectExpr("*", "row_number() over (partition by path, part order by seq, s) as pn").where(f"pn <= {SAMPLE}")
+    ranked = part.selectExpr("*", "row_number() over (partition by path order by seq, s) as rn").where(f"rn <= {SAMPLE}")
     kinds = "collect_set(case when k in ('BIGINT') then 'int' when k in ('DECIMAL', 'DOUBLE', 'FLOAT') then 'float' when k = 'BOOLEAN' then 'bool' when k = 'ARRAY' then 'list' when k = 'OBJECT' then 'dict' else 'str' end)"
     sums = ranked.groupBy("path").agg(
         F.expr(kinds).alias("kinds"), F.expr("max(rn <= 5 and (pt or coalesce(pair, false)))").alias("point"), F.expr("max(rn <= 5 and shape)").alias("shape"),
@@ -76,13 +78,14 @@ def type_by_name(name: str, found: str) -> str:
 
 
 def mapping(types: DataFrame) -> dict[str, str]:
-    """Normalised name to type: the standard fields, and those found; keys that begin with an
-    underscore are left out, but for _id. One row a field comes to the driver."""
+    """Normalised name to type: the standard fields, and over them those found, the later of one name
+    winning; keys that begin with an underscore are left out, but for _id. One row a field comes to
+    the driver."""
     out = dict(STANDARD)
     for r in types.orderBy("path").collect():
         leaf = r["path"]
         if not leaf.startswith("_") or leaf == "_id":
-            out.setdefault(mapping_name(leaf), r["type"])
+            out[mapping_name(leaf)] = r["type"]
     return out
 
 

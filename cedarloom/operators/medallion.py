@@ -37,11 +37,17 @@ def bronze(df: DataFrame, dataset: str, source_file: str | None = None, loaded_a
     )
 
 
-def integrity(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    """(valid, invalid): stored rows whose checksum is or is not that of the same fresh row."""
-    own = stored.select("_raw_id", F.col("_checksum").alias("was"))
-    at = own.join(fresh.select("_raw_id", F.col("_checksum").alias("now")), "_raw_id")
-    return at.agg(F.count_if(F.expr("was = now")).alias("valid"), F.count_if(F.expr("was != now")).alias("invalid"))
+def integrity(stored: DataFrame, fresh: DataFrame, ids: int = 100) -> DataFrame:
+    """(valid, invalid, invalid_ids): stored rows whose checksum is or is not that of the same fresh
+    row, and the first ids of the latter; all of them are the rows of changed()."""
+    at = stored.select("_raw_id", F.col("_checksum").alias("was")).join(fresh.select("_raw_id", F.col("_checksum").alias("now")), "_raw_id")
+    bad = at.where("was != now").select("_raw_id").orderBy("_raw_id").limit(ids).agg(F.sort_array(F.collect_list("_raw_id")).alias("invalid_ids"))
+    return at.agg(F.count_if(F.expr("was = now")).alias("valid"), F.count_if(F.expr("was != now")).alias("invalid")).join(F.broadcast(bad))
+
+
+def changed(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """(_raw_id) of the stored rows whose fresh row has another checksum."""
+    return stored.select("_raw_id", F.col("_checksum").alias("was")).join(fresh.select("_raw_id", F.col("_checksum").alias("now")), "_raw_id").where("was != now").select("_raw_id")
 
 
 def normal_value(name: str, c: str, kind: str) -> str:
@@ -66,6 +72,23 @@ def normalised(df: DataFrame, field_names: dict[str, str] | None = None) -> Data
     return df.selectExpr(*[f"{v} as `{k}`" for k, v in out.items()])
 
 
+def issue_fields(issue: str | None) -> list[str]:
+    """The common fields of the searchable text and those of an issue, each once."""
+    return list(dict.fromkeys([*SEARCH_FIELDS["common"], *SEARCH_FIELDS.get(issue or "", [])]))
+
+
+def indexed_text(columns: list[str], kinds: dict[str, str], issue: str = "primary_issue") -> str:
+    """The text the indexer makes: address fields, then those of the issue, between bars; where there
+    is none of them, all texts of fewer than 500 characters whose names begin with no underscore."""
+    text = lambda c: f"nullif(cast(`{c}` as string), '')"
+    parts = [text(c) for c in ("address", "addrFull", "street_name", "neighbourhood", "ward") if c in columns]
+    for name, own in SEARCH_FIELDS.items():
+        if name != "common":
+            parts += [f"case when {issue} = '{name}' then {text(c)} end" for c in own if c in columns]
+    rest = [f"case when length(`{c}`) < 500 then `{c}` end" for c in columns if kinds[c] == "string" and not c.startswith("_")]
+    return f"coalesce(nullif(concat_ws(' | ', {', '.join(parts or ['null'])}), ''), concat_ws(' | ', {', '.join(rest or ['null'])}))"
+
+
 def searchable_text(columns: list[str], kinds: dict[str, str], issue: str = "primary_issue") -> str:
     """The texts of the common fields and those of the issue, the keywords, dataset and subcategory
     as words, and the issues; single spaces. Common fields count only if they are texts."""

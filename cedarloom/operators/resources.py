@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cedarloom.functions import classify as C
-from cedarloom.functions.names import base_name_sql, resource_name_sql, signature_sql, url_name_sql
+from cedarloom.functions.names import base_name_sql, names_match, resource_name_sql, signature_sql, url_name_sql
 from cedarloom.functions.rows import once
 
 
@@ -53,3 +53,20 @@ def categories(resources: DataFrame) -> DataFrame:
 def summary(resources: DataFrame) -> DataFrame:
     """A line of text for each duplicated name."""
     return find_duplicates(resources).selectExpr("concat(normal_name, ': ', cast(n as string), ' (', array_join(formats, ', '), ')') as line")
+
+
+def format_duplicates(pairs: DataFrame) -> DataFrame:
+    """pairs (name_a, format_a, name_b, format_b, ...) with is_duplicate: one name, two formats."""
+    return pairs.withColumn("is_duplicate", F.expr(f"{names_match('name_a', 'name_b')} and lower(coalesce(format_a, '')) != lower(coalesce(format_b, ''))"))
+
+
+def yearly(resources: DataFrame) -> DataFrame:
+    """(base_name, n, names): the entries that are one but for year and version, where there are two
+    names or more."""
+    at = described(resources).where("normal_name != ''").groupBy("base_name").agg(F.count("*").alias("n"), F.sort_array(F.collect_set("normal_name")).alias("names"))
+    return at.where("size(names) > 1")
+
+
+def supported(resources: DataFrame) -> DataFrame:
+    """The entries that some reader can read."""
+    return described(resources).where("method is not null").select(*resources.columns)

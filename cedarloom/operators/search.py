@@ -7,6 +7,7 @@ terms. Scores are exact BM25 over the whole corpus, k1 = 1.2, b = 0.75.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cedarloom.functions.rules import BOOSTS, STOP_WORDS
 from cedarloom.functions.stem import stem
-from cedarloom.functions.values import sql_list
+from cedarloom.functions.values import lit, sql_list
 
 K1, B = 1.2, 0.75
 EARTH_KM = 6371.0088
@@ -43,6 +44,24 @@ class Index:
     vocab: DataFrame
     corpus: DataFrame
     stemmed: bool = False
+    buckets: int | None = None
+
+
+def save_index(index: Index, path: str, buckets: int = 64) -> None:
+    """The tables of an index below `path`. Postings, lengths and vocabulary are partitioned by field
+    and a bucket of what they are read by, so that a query reads the buckets of its terms only."""
+    part = lambda c: F.expr(f"cast(pmod(xxhash64({c}), {buckets}) as int)")
+    for name, df, by in (("postings", index.postings, "tok"), ("lengths", index.lengths, "doc_id"), ("vocab", index.vocab, "tok")):
+        df.withColumn("bucket", part(by)).repartition("field", "bucket").sortWithinPartitions(by).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/{name}")
+    index.corpus.selectExpr("*", f"{index.stemmed} as stemmed", f"{buckets} as buckets").coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus")
+
+
+def load_index(spark, path: str) -> Index:
+    """An index that save_index wrote; nothing is read of it but the row of its settings."""
+    corpus = spark.read.parquet(f"{path}/corpus")
+    one = corpus.select("stemmed", "buckets").first()
+    read = lambda n: spark.read.parquet(f"{path}/{n}")
+    return Index(read("postings"), read("lengths").drop("bucket"), read("vocab"), corpus.drop("stemmed", "buckets"), bool(one and one["stemmed"]), one["buckets"] if one else None)
 
 
 def build_index(docs: DataFrame, key: str, fields: list[str], stop: bool = True, stemming: bool = False) -> Index:
@@ -62,8 +81,6 @@ def build_index(docs: DataFrame, key: str, fields: list[str], stop: bool = True,
 
 def analyse(text: str, stop: bool = True, stemming: bool = False) -> list[str]:
     """The distinct tokens of a query, as the index has them."""
-    import re
-
     out = [t for t in re.split(r"[\W_]+", text.lower()) if t and not (stop and t in STOP_WORDS)]
     return list(dict.fromkeys(stem(t) if stemming else t for t in out))
 
@@ -72,11 +89,21 @@ def edits_allowed(term: str) -> int:
     return 0 if len(term) < 3 else 1 if len(term) < 6 else 2
 
 
+def near(c: str, term: str, most: int) -> str:
+    """SQL: whether a word is within `most` (1 or 2) edits of a term; a swap of neighbours is one edit:
+    the swaps of the term, which is known, are tried one by one."""
+    swaps = {term[:i] + term[i + 1] + term[i] + term[i + 2 :] for i in range(len(term) - 1)} - {term}
+    more = {t[:i] + t[i + 1] + t[i] + t[i + 2 :] for t in swaps for i in range(len(t) - 1)} if most > 1 else set()
+    parts = [f"levenshtein({c}, {lit(term)}, {most}) >= 0", *([f"{c} in ({sql_list(sorted(swaps | more))})"] if swaps else [])]
+    parts += [f"levenshtein({c}, {lit(t)}, {most - 1}) >= 0" for t in sorted(swaps)] if most > 1 else []
+    return "(" + " or ".join(parts) + ")"
+
+
 def expanded(index: Index, terms: list[str], fuzzy: bool) -> DataFrame:
     """(field, tok, df) of the vocabulary that the terms reach; with fuzzy, within 0, 1 or 2 edits by
     the length of the term. The terms are few; the vocabulary is scanned, not joined."""
-    hit = " or ".join(f"levenshtein(tok, '{t}', {edits_allowed(t)}) >= 0" if fuzzy and edits_allowed(t) else f"tok = '{t}'" for t in terms) or "false"
-    return index.vocab.where(hit)
+    hit = " or ".join(near("tok", t, edits_allowed(t)) if fuzzy and edits_allowed(t) else f"tok = {lit(t)}" for t in terms) or "false"
+    return index.vocab.where(hit).select("field", "tok", "df")
 
 
 def scored(index: Index, terms: list[str], boosts: dict[str, float] | None = None, fuzzy: bool = False) -> DataFrame:
@@ -86,6 +113,11 @@ def scored(index: Index, terms: list[str], boosts: dict[str, float] | None = Non
     hits = index.postings
     if not fuzzy:
         hits = hits.where(f"tok in ({sql_list(terms)})" if terms else "false")
+        if index.buckets and terms:
+            own = hits.sparkSession.range(1).selectExpr(*[f"cast(pmod(xxhash64({lit(t)}), {index.buckets}) as int) as b{i}" for i, t in enumerate(terms)]).first()
+            hits = hits.where(f"bucket in ({', '.join(str(b) for b in set(own))})")
+    if index.buckets:
+        hits = hits.drop("bucket")
     hits = hits.join(expanded(index, terms, fuzzy), ["field", "tok"]).join(index.lengths, ["field", "doc_id"]).join(F.broadcast(index.corpus), "field")
     score = f"ln(1 + (n - df + 0.5D) / (df + 0.5D)) * tf * ({K1} + 1) / (tf + {K1} * (1 - {B} + {B} * len / avgdl))"
     per_field = hits.groupBy("field", "doc_id").agg(F.sum(F.expr(score)).alias("s"))
@@ -105,12 +137,12 @@ class Request:
     offset: int = 0
     fields: list[str] | None = None
     fuzzy: bool = False
+    time: str | None = None
 
 
 def condition(docs: DataFrame, filters: dict) -> str:
     """Equality, membership for lists; on an array column any element counts. Parts are joined by and."""
     kinds = dict(docs.dtypes)
-    lit = lambda v: f"'{v}'" if isinstance(v, str) else str(v).lower() if isinstance(v, bool) else str(v)
     parts = []
     for f, v in filters.items():
         values = list(v) if isinstance(v, (list, tuple, set)) else [v]
@@ -144,18 +176,20 @@ def within(docs: DataFrame, lat: float, lon: float, radius: str, lat_col: str =
 
 def search(docs: DataFrame, index: Index, key: str, request: Request, boosts: dict[str, float] | None = None) -> tuple[DataFrame, DataFrame]:
     """(page of hits, one row with the exact total). Without a query all documents match, score 1; a
-    query of stop words only matches none. Ties go to the smaller key."""
+    query of stop words only matches none. Ties go to the smaller key. With `time` (the stamp of a document) the
+    newest come first unless a sort is given, as in search by issue; else the best or nearest."""
     hits = docs.where(condition(docs, request.filters))
     if request.date_range:
         f, lo, hi = request.date_range
-        hits = hits.where(" and ".join([*([f"`{f}` >= '{lo}'"] if lo else []), *([f"`{f}` <= '{hi}'"] if hi else [])]) or "true")
+        hits = hits.where(" and ".join([*([f"`{f}` >= {lit(lo)}"] if lo else []), *([f"`{f}` <= {lit(hi)}"] if hi else [])]) or "true")
     if request.near:
         hits = within(hits, *request.near)
     if request.query.strip():
         hits = hits.join(scored(index, analyse(request.query, stemming=index.stemmed), boosts, request.fuzzy).withColumnRenamed("doc_id", key), key)
     else:
         hits = hits.withColumn("score", F.lit(1.0))
-    order = request.sort or ([F.col("distance_km")] if request.near and not request.query.strip() else [F.col("score").desc()])
+    ranked = [F.col("distance_km")] if request.near and not request.query.strip() else [F.col("score").desc()]
+    order = request.sort or ([F.col(request.time).desc_nulls_last()] if request.time else ranked)
     page = hits.orderBy(*order, key).offset(request.offset).limit(request.size)
     if request.fields:
         page = page.select(*request.fields)
@@ -191,6 +225,11 @@ def in_neighbourhood(docs: DataFrame, name: str, column: str = "neighbourhood")
     return docs.where(f"arrays_overlap({tokens(f'`{column}`')}, array({sql_list(analyse(name))}))") if analyse(name) else docs.limit(0)
 
 
+def in_ward(docs: DataFrame, index: Index, key: str, ward: str, query: str = "", issue: str | None = None, size: int = 50, **kw) -> tuple[DataFrame, DataFrame]:
+    """A search among the documents of one ward, by number or name."""
+    return search(docs, index, key, Request(query, {"ward": ward} | ({"primary_issue": issue} if issue else {}), size=size, **kw))
+
+
 def recent(docs: DataFrame, time: str, days: int, now: str, size: int = 20) -> DataFrame:
     """The latest documents of the last days before `now` (SQL), newest first."""
     return docs.where(f"`{time}` >= {now} - interval {days} days").orderBy(F.desc(time)).limit(size)
@@ -203,4 +242,5 @@ def prefixes(c: str, least: int = 2, most: int = 20) -> str:
 
 
 def highlighted(c: str, terms: list[str]) -> str:
-    return rf"regexp_replace({c}, r'(?i)\b({'|'.join(terms)})\b', '<em>$1</em>')"
+    words = lit(r"(?i)\b(" + "|".join(re.escape(t) for t in terms) + r")\b")
+    return f"regexp_replace({c}, {words}, '<em>$1</em>')" if terms else c

@@ -93,3 +93,81 @@ def test_search(spark):
     near = S.search(d, index, "id", S.Request("", near=(43.65, -79.38, "6km")))[0].collect()
     assert [(r["id"], round(r["distance_km"], 7)) for r in near] == [(1, 0.0), (2, 5.7877513)]
     assert [tuple(r) for r in S.facets(d, "tags").collect()] == [("b", 2), ("a", 1)]
+
+
+def test_one_dataset_fails_and_the_others_go_on(spark, tmp_path):
+    def some(df):
+        return df.withColumn("v", F.expr("case when dataset_id = 'bad' then raise_error('no') else v end").cast("int")).withColumn("_unique_id", F.expr("nullif(_unique_id, 'none')"))
+
+    s = Sync(spark, Store(spark, str(tmp_path / "g"), "_unique_id"), str(tmp_path / "state"), some)
+    got = s.run(docs(spark, [("a", "x", 1, 1), ("b", "bad", 1, 1), ("none", "y", 1, 1), ("c", "y", 1, 2)]))
+    assert got == {"processed": 2, "failed": 2}
+    state = {r["dataset_id"]: (r["status"], r["documents_synced"], r["documents_failed"]) for r in s.state().collect()}
+    assert state == {"x": ("completed", 1, 0), "bad": ("failed", 0, 1), "y": ("partial", 1, 1)}
+    assert "in_progress" in {r["status"] for r in s.history().collect()}
+    s.transform = lambda df: df
+    assert s.run(docs(spark, [("a", "x", 7, 9), ("b", "bad", 1, 1)]), resume=True) == {"processed": 1, "failed": 0}
+    assert s.run(docs(spark, [("z", "new", 1, 1), ("a", "x", 7, 9)]), new_only=True)["processed"] == 1
+
+
+def test_rows_that_arrive_during_a_run_are_taken_by_the_next(spark, tmp_path):
+    src = str(tmp_path / "src")
+    docs(spark, [("a", "x", 1, 1)]).write.parquet(src)
+
+    class Slow(Store):
+        def upsert(self, *a, **k):
+            out = super().upsert(*a, **k)
+            if not late:
+                late.append(1)
+                docs(spark, [("b", "x", 2, 5)]).write.mode("append").parquet(src)
+            return out
+
+    late: list = []
+    s = Sync(spark, Slow(spark, str(tmp_path / "g"), "_unique_id"), str(tmp_path / "state"))
+    assert s.run(spark.read.parquet(src))["processed"] == 1
+    assert s.run(spark.read.parquet(src))["processed"] == 1
+    assert rows(s.target) == [("a", "x", 1), ("b", "x", 2)]
+
+
+def test_a_broken_off_swap_is_finished(spark, tmp_path):
+    s = Store(spark, str(tmp_path / "g"), "_unique_id")
+    s.upsert(docs(spark, [("a", "x", 1, 1), ("b", "y", 1, 1)]))
+    staged = tmp_path / "g__swap_1"
+    Store(spark, str(staged / "new"), "_unique_id").upsert(docs(spark, [("a", "x", 2, 2), ("b", "y", 2, 2)]))
+    (staged / "old").mkdir()
+    (staged / "ready").mkdir()
+    (tmp_path / "g" / "dataset_id=x").rename(staged / "old" / "dataset_id=x")
+    s.upsert(docs(spark, [("c", "z", 1, 1)]))
+    assert rows(s) == [("a", "x", 2), ("b", "y", 2), ("c", "z", 1)] and not staged.exists()
+
+
+def test_quotes_in_values(spark, tmp_path):
+    s = Store(spark, str(tmp_path / "g"), "_unique_id")
+    s.upsert(docs(spark, [("a", "St. John's", 1, 1), ("b", "x", 1, 1)]).withColumn("primary_issue", F.lit("health")))
+    d = s.read()
+    assert d.where(S.condition(d, {"dataset_id": "St. John's"})).count() == 1
+    assert s.delete_dataset("St. John's") == 1 and s.delete_by_category("health") == 1
+    assert d.sparkSession.sql("select " + S.highlighted("'a.b (c) axb'", ["a.b", "(c"])).first()[0].startswith("<em>a.b</em>")
+
+
+def test_index_that_is_written_once(spark, tmp_path):
+    d = spark.createDataFrame([(i, f"kitchen w{i % 7} beach{i}") for i in range(50)], "id int, text string")
+    S.save_index(S.build_index(d, "id", ["text"]), str(tmp_path / "ix"), buckets=8)
+    read, made = S.load_index(spark, str(tmp_path / "ix")), S.build_index(d, "id", ["text"])
+    for fuzzy, words in ((False, ["kitchen", "w3"]), (True, ["kitchne", "baech1"])):
+        score = lambda ix: sorted((r["doc_id"], round(r["score"], 9)) for r in S.scored(ix, words, fuzzy=fuzzy).collect())  # noqa: B023, E731
+        assert score(read) == score(made) != []
+
+
+def test_newest_first_and_wards(spark):
+    d = spark.createDataFrame([(1, "a kitchen", "5", 1), (2, "kitchen", "5", 3), (3, "kitchen", "6", 2)], "id int, text string, ward string, at int")
+    ix = S.build_index(d, "id", ["text"])
+    assert [r["id"] for r in S.search(d, ix, "id", S.Request("kitchen", time="at"))[0].collect()] == [2, 3, 1]
+    assert {r["id"] for r in S.in_ward(d, ix, "id", "5", "kitchen")[0].collect()} == {1, 2}
+
+
+def test_swaps_are_one_edit(spark):
+    words = ["kitchen", "kitchne", "iktchne", "kithcen", "kitch", "ktchn", "xitchenx", "ikthcen", "other"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    assert {r[0] for r in df.where(S.near("w", "kitchen", 1)).collect()} == {"kitchen", "kitchne", "kithcen"}
+    assert {r[0] for r in df.where(S.near("w", "kitchen", 2)).collect()} == {"kitchen", "kitchne", "iktchne", "kithcen", "kitch", "ktchn", "xitchenx", "ikthcen"}
