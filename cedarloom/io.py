@@ -22,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.conf.get("spark.cedarloom.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="cedarloom-")
         spark.conf.set("spark.cedarloom.checkpoint.dir", path)
     return path.rstrip("/")

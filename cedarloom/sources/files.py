@@ -13,34 +13,105 @@ from pyspark.sql import functions as F
 from cedarloom.functions.names import column_name
 
 ENCODINGS = ["utf-8", "iso-8859-1", "windows-1252", "utf-16"]
+# Keys that hold the records of a document, in the order they are tried.
 LIST_KEYS = ["records", "data", "items", "results", "rows", "values"]
 
 
-def _sample(path: str, size: int = 1 << 20) -> bytes:
-    """The beginning of a file, or of the first file of a folder."""
-    if os.path.isdir(path):
-        path = next(os.path.join(path, f) for f in sorted(os.listdir(path)) if not f.startswith(("_", ".")))
-    with open(path, "rb") as f:
-        return f.read(size)
+# Bytes are read one to one and decoded value by value, so that every file and every value has the
+# encoding it is in, however far into the file it stands.
+_HIGH = {i: bytes([i]).decode("cp1252", "ignore") for i in range(0x80, 0xA0)}
+_C1, _SIGNS = "".join(chr(i) for i, t in _HIGH.items() if t), "".join(_HIGH.values())
 
 
-def encoding_of(path: str) -> str:
-    """UTF-16 with its mark, UTF-8 if the beginning decodes, else Latin-1."""
-    raw = _sample(path)
-    if raw[:2] in (b"\xff\xfe", b"\xfe\xff"):
-        return "utf-16"
+def decoded(c: str) -> str:
+    """SQL: a text read as Latin-1, as what its bytes say: UTF-8 if they are, else Windows-1252."""
+    raw = f"encode({c}, 'ISO-8859-1')"
+    return f"case when {c} rlike r'[^\x00-\x7f]' then case when is_valid_utf8(cast({raw} as string)) then cast({raw} as string) else translate({c}, '{_C1}', '{_SIGNS}') end else {c} end"
+
+
+def _decoded_line(c: str) -> str:
+    """The same of a line of a text source, whose bytes Spark keeps as they are."""
+    return f"case when is_valid_utf8({c}) then {c} else translate(decode(cast({c} as binary), 'ISO-8859-1'), '{_C1}', '{_SIGNS}') end"
+
+
+def _name(name: str) -> str:
+    raw = name.encode("latin-1", "replace")
     try:
-        raw[: max(0, len(raw) - 4)].decode("utf-8") if len(raw) == 1 << 20 else raw.decode("utf-8")
-        return "utf-8"
+        return raw.decode().removeprefix("\ufeff")
     except UnicodeDecodeError:
-        return "iso-8859-1"
+        return raw.decode("cp1252", "replace")
+
+
+def _is_utf16(spark: SparkSession, path: str) -> bool:
+    """Whether the file, or the first of the folder, begins with the mark of UTF-16."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):  # a pattern: left to Spark
+        return False
+    if fs.getFileStatus(at).isDirectory():
+        files = sorted(str(f.getPath()) for f in fs.listStatus(at) if f.isFile() and not f.getPath().getName().startswith(("_", ".")))
+        if not files:
+            return False
+        at = jvm.org.apache.hadoop.fs.Path(files[0])
+    stream = fs.open(at)
+    try:
+        return (stream.read(), stream.read()) in ((0xFF, 0xFE), (0xFE, 0xFF))
+    finally:
+        stream.close()
 
 
-def read_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str | None = None, infer: bool = True) -> DataFrame:
-    """With header, types inferred, malformed lines dropped; empty fields are null."""
-    enc = encoding or encoding_of(path)
+def encoding_of(path: str) -> str:
+    """The encoding of one local file, all of it: UTF-16 with its mark, UTF-8 if it decodes, else Latin-1."""
+    import codecs
+
+    check = codecs.getincrementaldecoder("utf-8")()
+    with open(path, "rb") as f:
+        first = chunk = f.read(1 << 20)
+        if first[:2] in (b"\xff\xfe", b"\xfe\xff"):
+            return "utf-16"
+        try:
+            while chunk:
+                check.decode(chunk)
+                chunk = f.read(1 << 20)
+            check.decode(b"", final=True)
+            return "utf-8"
+        except UnicodeDecodeError:
+            return "iso-8859-1"
+
+
+_BAD = "_malformed"
+
+
+def _csv(spark: SparkSession, path: str, sep: str, encoding: str | None, infer: bool) -> DataFrame:
+    """All lines, those that are malformed in the column _malformed."""
+    enc = encoding or ("utf-16" if _is_utf16(spark, path) else "ISO-8859-1")
     # lines of UTF-16 can't be found before it is decoded: such files are not split
-    return spark.read.options(header=True, inferSchema=infer, sep=sep, mode="DROPMALFORMED", encoding=enc, multiLine=enc.startswith("utf-16")).csv(path)
+    read = spark.read.options(header=True, inferSchema=infer, sep=sep, encoding=enc, multiLine=enc.startswith("utf-16"), columnNameOfCorruptRecord=_BAD)
+    schema = read.csv(path).schema
+    df = read.schema(schema.add(_BAD, "string")).csv(path)
+    if encoding is None and enc == "ISO-8859-1":
+        df = df.selectExpr(*[(f"{decoded(f'`{c}`')} as `{_name(c)}`" if t == "string" else f"`{c}` as `{_name(c)}`") for c, t in df.dtypes])
+    return df
+
+
+def _parsed(df: DataFrame) -> str:
+    """True of every row; it reads all columns, as Spark can't tell malformed lines by some."""
+    return f"not length(concat_ws('', {', '.join(f'cast(`{c}` as string)' for c in df.columns if c != _BAD) or chr(39) * 2})) <=> -1"
+
+
+def read_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str | None = None, infer: bool = True) -> DataFrame:
+    """With header, types inferred; empty fields are null. Without an encoding every value is decoded
+    by its own bytes. Lines that are malformed (see malformed) are left out."""
+    df = _csv(spark, path, sep, encoding, infer)
+    return df.where(f"{_BAD} is null and {_parsed(df)}").drop(_BAD)
+
+
+def malformed(spark: SparkSession, path: str, sep: str = ",", encoding: str | None = None) -> DataFrame:
+    """(line): the lines read_csv leaves out, as they stand in the file: too many or too few fields, or
+    values that have not the type of the others."""
+    df = _csv(spark, path, sep, encoding, True)
+    return df.where(f"{_BAD} is not null and {_parsed(df)}").select(F.col(_BAD).alias("line"))
 
 
 def json_structure(v: str) -> str:
@@ -83,9 +154,24 @@ def read_enriched(spark: SparkSession, path: str) -> DataFrame:
     return docs.selectExpr("source_file", "try_variant_get(doc, '$._metadata.dataset_id', 'string') as dataset_id", f"posexplode({record_list('doc')}) as (position, record)")
 
 
+def _xml(raw: bytes):
+    """The root of a document; if it is malformed, of what it is without control characters and with
+    its bare ampersands escaped; if that is malformed too, nothing."""
+    try:
+        return ElementTree.fromstring(raw)
+    except ElementTree.ParseError:
+        pass
+    try:
+        mended = re.sub(rb"&(?!(?:[A-Za-z]+|#\d+|#x[0-9A-Fa-f]+);)", b"&amp;", re.sub(rb"[\x00-\x08\x0b\x0c\x0e-\x1f]", b"", raw))
+        return ElementTree.fromstring(mended)
+    except ElementTree.ParseError:
+        return []
+
+
 def read_xml(spark: SparkSession, path: str) -> DataFrame:
     """(position, fields MAP<STRING, STRING>): each child of the root; its children's texts by tag
-    without namespace (the last of a tag wins), or its attributes and text. Empty ones are dropped."""
+    without namespace (the last of a tag wins), or its attributes and text. Empty ones are dropped; a
+    document that can't be mended gives no rows, the others of the folder theirs."""
     bare = lambda t: t.rsplit("}", 1)[-1]
 
     def parse(batches):
@@ -94,7 +180,7 @@ def read_xml(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             rows = []
             for raw in b["content"]:
-                for i, child in enumerate(ElementTree.fromstring(bytes(raw))):
+                for i, child in enumerate(_xml(bytes(raw))):
                     own = {bare(x.tag): (x.text or "").strip() for x in child} if len(child) else dict(child.attrib) | ({bare(child.tag): child.text.strip()} if (child.text or "").strip() else {})
                     if own:
                         rows.append((i, own))
@@ -113,38 +199,60 @@ def detect_delimiter(lines: list[str]) -> str | None:
     return best if counts[best] > 20 else None
 
 
+def lines(spark: SparkSession, path: str) -> DataFrame:
+    """(source_file, line_number, value): the lines of each file from 1, decoded, in any number of
+    splits: the place of a line in its split, and the lines of the splits before it."""
+    at = spark.read.text(path).selectExpr("_metadata.file_path as source_file", "_metadata.file_block_start as start", "monotonically_increasing_id() as i", f"{_decoded_line('value')} as value")
+    splits = at.groupBy("source_file", "start").agg(F.min("i").alias("first"), F.count("*").alias("n"))
+    splits = splits.selectExpr("source_file", "start", "first", "sum(n) over (partition by source_file order by start) - n as before")
+    return at.join(F.broadcast(splits), ["source_file", "start"]).selectExpr("source_file", "i - first + before + 1 as line_number", "value")
+
+
+def _first_lines(spark: SparkSession, path: str, n: int) -> list[str]:
+    return [r["value"] for r in spark.read.text(path).selectExpr(f"{_decoded_line('value')} as value").limit(n).collect()]
+
+
 def read_txt(spark: SparkSession, path: str, delimiter: str | None = None) -> DataFrame:
-    """Delimited text as a table (headers normalised, columns without values dropped); else a row for
-    each line that is not blank: line_number, content."""
-    enc = encoding_of(path)
-    lines = _sample(path).decode(enc, "replace").splitlines()[:20]
-    delimiter = delimiter or detect_delimiter(lines)
+    """Delimited text as a table (headers normalised, columns without values dropped); else columns
+    of fixed width, if the first lines have at least two gaps of two spaces or more in common; else
+    a row for each line that is not blank: line_number, content."""
+    first = _first_lines(spark, path, 20)
+    delimiter = delimiter or detect_delimiter(first)
     if delimiter:
-        df = read_csv(spark, path, delimiter, enc)
+        df = read_csv(spark, path, delimiter)
         df = df.toDF(*[column_name(c) for c in df.columns])
         filled = df.agg(*[F.count(f"`{c}`").alias(c) for c in df.columns]).first()
         return df.select(*[f"`{c}`" for c in df.columns if filled[c]])
-    text = spark.read.text(path, wholetext=True)
-    return text.selectExpr("posexplode(split(value, '\\r?\\n')) as (i, content)").where("trim(content) != ''").selectExpr("i + 1 as line_number", "trim(content) as content")
-
-
-def read_fixed_width(spark: SparkSession, path: str) -> DataFrame:
-    """Columns by the runs of spaces that all sampled lines share; the first line is the header."""
-    lines = [x for x in _sample(path).decode(encoding_of(path), "replace").splitlines()[:100] if x.strip()]
-    width = max(map(len, lines), default=0)
-    used = [any(i < len(x) and x[i] != " " for x in lines) for i in range(width)]
-    spans, start = [], None
-    for i, u in enumerate([*used, False]):
-        if u and start is None:
-            start = i
-        elif not u and start is not None:
-            spans.append((start, i))
-            start = None
-    names = [column_name(lines[0][a:b]) or f"column_{k}" for k, (a, b) in enumerate(spans)] if lines else []
-    body = spark.read.text(path).where(F.col("value") != (lines[0] if lines else ""))
-    return body.selectExpr(*[f"nullif(trim(substring(value, {a + 1}, {b - a})), '') as `{n}`" for (a, b), n in zip(spans, names, strict=True)])
-
-
+    if len(first) > 2 and len(_spans(first, 2)) > 2:
+        return read_fixed_width(spark, path, 2)
+    return lines(spark, path).where("trim(value) != ''").selectExpr("line_number", "trim(value) as content")
+
+
+def _spans(first: list[str], gap: int = 1) -> list[tuple[int, int]]:
+    """Places that some line fills, parted by `gap` places or more that none does."""
+    own = [x for x in first if x.strip()]
+    used = [i for i in range(max(map(len, own), default=0)) if any(i < len(x) and x[i] != " " for x in own)]
+    spans: list[list[int]] = []
+    for i in used:
+        if spans and i - spans[-1][1] < gap:
+            spans[-1][1] = i + 1
+        else:
+            spans.append([i, i + 1])
+    return [(a, b) for a, b in spans]
+
+
+def read_fixed_width(spark: SparkSession, path: str, gap: int = 1) -> DataFrame:
+    """Columns by the runs of spaces that all sampled lines share; the first line of each file is the
+    header. The last column reaches to the end of the line."""
+    first = [x for x in _first_lines(spark, path, 100) if x.strip()]
+    spans = _spans(first, gap)
+    names = [column_name(first[0][a:b]) or f"column_{k}" for k, (a, b) in enumerate(spans)] if first else []
+    body = lines(spark, path).where("line_number > 1 and trim(value) != ''")
+    ends = [b - a for a, b in spans[:-1]] + [1 << 30]
+    return body.selectExpr(*[f"nullif(trim(substring(value, {a + 1}, {w})), '') as `{n}`" for (a, _), w, n in zip(spans, ends, names, strict=False)])
+
+
+# Formats of members, the most wanted first.
 ZIP_ORDER = ["csv", "xlsx", "xls", "json", "xml", "txt", "shp", "geojson"]
 
 
@@ -174,7 +282,9 @@ def read_zip(spark: SparkSession, path: str, folder: str) -> DataFrame:
     if best is None:
         raise ValueError(f"{path} has no member of a known format")
     kind = best.rsplit(".", 1)[-1].lower()
-    readers = {"csv": read_csv, "json": read_json, "geojson": read_json, "xml": read_xml, "txt": read_txt, "shp": read_shp, "xlsx": read_xlsx, "xls": read_xlsx}
+    if kind == "xls":
+        raise ValueError(f"{best}: workbooks of the old XLS format can't be read; save it as XLSX or CSV")
+    readers = {"csv": read_csv, "json": read_json, "geojson": read_json, "xml": read_xml, "txt": read_txt, "shp": read_shp, "xlsx": read_xlsx}
     return readers[kind](spark, best)
 
 
@@ -194,6 +304,8 @@ def find_geospatial(folder: str) -> str | None:
                 if f.lower().endswith(ext):
                     return os.path.join(d, f)
         for f in sorted(fs):
-            if f.lower().endswith(".json") and re.search(rb'"(?:FeatureCollection|features|geometry)"', _sample(os.path.join(d, f), 500)):
-                return os.path.join(d, f)
+            if f.lower().endswith(".json"):
+                with open(os.path.join(d, f), "rb") as j:
+                    if re.search(rb'"(?:FeatureCollection|features|geometry)"', j.read(500)):
+                        return os.path.join(d, f)
     return None

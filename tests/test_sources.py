@@ -154,3 +154,57 @@ def test_inference(spark):
     m = infer.mapping(types)
     assert m["overdose_count"] == "date" and infer.schema(m)["location"].dataType.simpleString() == "struct<lat:double,lon:double>"
     assert infer.report(types).count() == len(got)
+
+
+def test_encodings_are_those_of_each_value(spark, tmp_path):
+    from cedarloom.sources import files as F
+
+    (tmp_path / "a.csv").write_bytes(b"Ville,n\n" + b"Paris,1\n" * 200_000 + "Québec,2\n".encode("cp1252"))
+    df = F.read_csv(spark, str(tmp_path / "a.csv"))
+    assert df.where("n = 2").first()[0] == "Québec" and df.count() == 200_001
+    (tmp_path / "b.csv").write_bytes("﻿Été,n\nMontréal,1\n\"a, “b”\",2\n".encode())
+    assert [tuple(r) for r in F.read_csv(spark, str(tmp_path / "b.csv")).collect()] == [("Montréal", 1), ("a, “b”", 2)]
+    assert F.read_csv(spark, str(tmp_path / "b.csv")).columns == ["Été", "n"]
+    (tmp_path / "c.txt").write_bytes("Montréal – un\n\nQuébec €\n".encode("cp1252"))
+    assert [tuple(r) for r in F.read_txt(spark, str(tmp_path / "c.txt")).collect()] == [(1, "Montréal – un"), (3, "Québec €")]
+    (tmp_path / "d.csv").write_bytes("Ville,n\nQuébec,2\n".encode("utf-16"))
+    assert F.read_csv(spark, str(tmp_path / "d.csv")).first()[0] == "Québec"
+
+
+def test_malformed_lines_are_reported(spark, tmp_path):
+    from cedarloom.sources import files as F
+
+    (tmp_path / "a.csv").write_text("a,b\n1,x\n2,y,z\n3,w\n")
+    assert [tuple(r) for r in F.read_csv(spark, str(tmp_path / "a.csv")).collect()] == [(1, "x"), (3, "w")]
+    assert [r[0] for r in F.malformed(spark, str(tmp_path / "a.csv")).collect()] == ["2,y,z"]
+
+
+def test_lines_keep_their_numbers_in_any_number_of_splits(spark, tmp_path):
+    from cedarloom.sources import files as F
+
+    for name in ("a.txt", "b.txt"):
+        (tmp_path / name).write_text("".join(f"{name} line {i}\n" for i in range(1, 4001)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        got = F.lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(got) == 8000 and all(r["value"].endswith(f"line {r['line_number']}") for r in got)
+
+
+def test_fixed_width_text_is_found(spark, tmp_path):
+    from cedarloom.sources import files as F
+
+    (tmp_path / "w.txt").write_bytes("City        Ward    Name\nMontréal    5       A b\nCity        Ward    Name\nTamsley     12      C d e f\n".encode("latin-1"))
+    got = F.read_txt(spark, str(tmp_path / "w.txt"))
+    assert got.columns == ["city", "ward", "name"] and [tuple(r) for r in got.collect()] == [("Montréal", "5", "A b"), ("City", "Ward", "Name"), ("Tamsley", "12", "C d e f")]
+
+
+def test_malformed_xml_spoils_nothing_else(spark, tmp_path):
+    from cedarloom.sources import files as F
+
+    (tmp_path / "a.xml").write_text("<r><i><n>A & B</n></i></r>")
+    (tmp_path / "b.xml").write_text("<r><i><n>broken</i></r>")
+    (tmp_path / "c.xml").write_text("<r><i><n>C</n></i></r>")
+    assert sorted(r["fields"]["n"] for r in F.read_xml(spark, str(tmp_path)).collect()) == ["A & B", "C"]
