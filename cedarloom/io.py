@@ -39,6 +39,13 @@ def cut(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A folder below the shared one for files a query writes and reads again; it goes with the driver."""
+    path = f"{shared_dir(spark)}/cedarloom-{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def _clean() -> None:
     for spark, path in _WRITTEN:
         try:

@@ -156,7 +156,7 @@ class Store:
         """(kind, value, n): all documents, distinct datasets, and documents by category."""
         docs = self.read()
         whole = docs.agg(F.count("*").alias("t"), F.count_distinct(self.dataset).alias("d"))
-        head = whole.selectExpr("inline(array(struct('documents' as kind, cast(null as string) as value, t as n), struct('datasets', cast(null as string), d)))")
+        head = whole.selectExpr("inline(array(struct('documents' as kind, cast(null as string) as value, t as n), struct('datasets' as kind, cast(null as string) as value, d as n)))")
         return head.unionByName(docs.groupBy(F.col(category).cast("string").alias("value")).agg(F.count("*").alias("n")).selectExpr("'category' as kind", "value", "n"))
 
     def get(self, key: str) -> DataFrame:

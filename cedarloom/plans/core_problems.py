@@ -54,4 +54,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from cedarloom.plans.problem_oracles import SQL
+
+    return SQL

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cedarloom.functions import classify as C
 from cedarloom.functions import names as N
-from cedarloom.functions.rules import DATA_TYPES, DATASET_ISSUES, STOP_WORDS, TAXONOMY
+from cedarloom.functions.rules import DATA_TYPES, DATASET_ISSUES, FORMAT_SUFFIXES, STOP_WORDS, TAXONOMY
 from cedarloom.io import table
 from cedarloom.operators import medallion as M
 from cedarloom.operators import resources as R
@@ -123,10 +123,6 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze(spark, sf_dir).selectExpr("_raw_id as raw_id", "_dataset_id as dataset", "_checksum as checksum")
 
 
-@query("select count(*) as valid, cast(0 as bigint) as invalid from assets")
-def bronze_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.integrity(_bronze(spark, sf_dir), _bronze(spark, sf_dir))
-
 
 @query(f"""
 select outbreak_id, {_o_value('institution_name')} as institution_name, {_o_value('causative_agent_1')} as causative_agent_1,
@@ -145,9 +141,8 @@ def silver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.silver(src, "dataset_id").selectExpr("_unique_id as unique_id", "primary_issue", "subcategory", "data_type")
 
 
-@query(f"""
-select operator_id, trim(regexp_replace(concat_ws(' ', nullif(trim({_o_value('est_name')}), ''), replace(replace(dataset_id, '-', ' '), '_', ' '), 'general', 'health'), '\\s+', ' ', 'g')) as searchable_text
-from operators where dataset_id = 'dinesafe-x' or dataset_id is not null""".replace("'general', 'health'", "'misc', 'health'"))
+@query(rf"""
+select operator_id, trim(regexp_replace(concat_ws(' ', nullif(trim({_o_value('est_name')}), ''), replace(replace(dataset_id, '-', ' '), '_', ' '), 'misc', 'health'), '\s+', ' ', 'g')) as searchable_text from operators""")
 def searchable_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = table(spark, sf_dir, "operators").select("operator_id", "dataset_id", F.col("est_name").alias("name"))
     at = M.normalised(src).withColumns({"primary_issue": F.lit("health"), "subcategory": F.lit("misc")})
@@ -237,14 +232,6 @@ def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upserted(old, new.join(old.select("c_custkey"), "c_custkey", "left_semi"), ["c_custkey"], merge=True)
 
 
-@query("select asset_id, dataset_id from assets where dataset_id != 'traffic-signals' or dataset_id is null")
-def delete_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "assets").where("not coalesce(dataset_id = 'traffic-signals', false)").select("asset_id", "dataset_id")
-
-
-@query("select distinct dataset_id from assets union select distinct dataset_id from outbreaks")
-def union_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "assets").select("dataset_id").union(table(spark, sf_dir, "outbreaks").select("dataset_id")).distinct()
 
 
 @query("select 'db.' || r_name as source, 'manual' as target from region where r_regionkey < 3 union all select 'db.' || n_name, lower(n_name) from nation where 'db.' || n_name not in (select 'db.' || r_name from region where r_regionkey < 3)")
@@ -258,7 +245,7 @@ def mapping_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- catalogue entries
 
 _O_NAME = "trim(lower(coalesce(name, '')))"
-for _s in [".csv", ".json", ".xml", ".xlsx", ".xls", ".txt", ".zip", ".shp", ".geojson", " - csv", " - json", " - xml", " - xlsx", " csv", " json", " xml", " xlsx", "_csv", "_json", "_xml", "_xlsx", "-csv", "-json", "-xml", "-xlsx"]:
+for _s in FORMAT_SUFFIXES:
     _O_NAME = f"regexp_replace({_O_NAME}, '{_s.replace('.', '[.]')}$', '')"
 _O_NAME = rf"trim(regexp_replace({_O_NAME}, '\s*\((csv|json|xml|xlsx|xls|txt|zip|shp)\)', '', 'gi'))"
 
@@ -334,11 +321,6 @@ def filter_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.where(S.condition(o, {"o_orderstatus": "F", "o_orderpriority": ["1-URGENT", "2-HIGH"]})).where("o_totalprice between 1000 and 200000").select("o_orderkey")
 
 
-@query("select event_id, ts from events where ts >= (select max(ts) from events) - interval 30 day")
-def search_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    return e.join(F.broadcast(e.agg(F.max("ts").alias("now"))), F.expr("ts >= now - interval 30 days")).select("event_id", "ts")
-
 
 @query("select event_type as value, count(*) as n from events where event_type is not null group by 1 order by n desc, value limit 50")
 def facet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,14 +345,6 @@ def index_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.statistics(table(spark, sf_dir, "documents"), "dataset_id", "source")
 
 
-@query("select count(*) as total, count(distinct dataset_id) as datasets from documents")
-def gold_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").agg(F.count("*").alias("total"), F.count_distinct("dataset_id").alias("datasets"))
-
-
-@query("select s_suppkey, s_name from supplier order by s_name limit 10 offset 5")
-def paginate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").orderBy("s_name").offset(5).limit(10).select("s_suppkey", "s_name")
 
 
 _O_DIST = "2 * 6371.0088 * asin(sqrt(pow(sin(radians(lat - 43.65) / 2), 2) + cos(radians(43.65)) * cos(radians(lat)) * pow(sin(radians(lon - -79.38) / 2), 2)))"
@@ -410,7 +384,7 @@ def multi_field_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 select tok, count(*) as df from (select distinct asset_id, unnest(list_filter(regexp_split_to_array(lower(asset_type), '[^\\p{L}\\p{N}]+'), lambda t: t != '')) as tok from assets)
-where levenshtein(tok, 'fountian') <= 2 or levenshtein(tok, 'tre') <= 1 group by 1""")
+where damerau_levenshtein(tok, 'fountian') <= 2 or damerau_levenshtein(tok, 'tre') <= 1 group by 1""")
 def fuzzy_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = S.build_index(table(spark, sf_dir, "assets").select("asset_id", "asset_type"), "asset_id", ["asset_type"], stop=False)
     return S.expanded(index, ["fountian", "tre"], fuzzy=True).select("tok", "df")

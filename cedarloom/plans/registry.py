@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def modules() -> list:
-    from cedarloom.plans import core_problems, lakehouse
+    from cedarloom.plans import core_problems, lakehouse, round_trips
 
-    return [core_problems, lakehouse]
+    return [core_problems, lakehouse, round_trips]

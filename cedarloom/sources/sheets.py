@@ -186,3 +186,19 @@ def read_xlsx_sheets(spark: SparkSession, path: str, header: int | None = None)
                     yield pd.DataFrame(rows, columns=["source_file", "sheet", "position", "fields"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, "source_file string, sheet string, position int, fields map<string,string>")
+
+
+def write_xlsx(path: str, tables: dict[str, list[list]]) -> None:
+    """Rows of texts, numbers and empty cells, a sheet each, as a workbook."""
+    from xml.sax.saxutils import escape, quoteattr
+
+    main, rel = _NS["m"], _NS["r"]
+    package = "http://schemas.openxmlformats.org/package/2006/relationships"
+    cell = lambda v: "<c/>" if v is None else f"<c><v>{v}</v></c>" if isinstance(v, (int, float)) else f'<c t="inlineStr"><is><t>{escape(str(v))}</t></is></c>'
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        names = "".join(f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="r{i}"/>' for i, n in enumerate(tables, 1))
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>{names}</sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{package}">' + "".join(f'<Relationship Id="r{i}" Target="worksheets/s{i}.xml"/>' for i in range(1, len(tables) + 1)) + "</Relationships>")
+        for i, rows in enumerate(tables.values(), 1):
+            body = "".join(f"<row>{''.join(map(cell, r))}</row>" for r in rows)
+            z.writestr(f"xl/worksheets/s{i}.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
