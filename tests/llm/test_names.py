@@ -117,3 +117,9 @@ def test_copies_change_no_pairs(spark):
     got = {tuple(r) for r in same_name(spark.createDataFrame(rows, SCHEMA)).collect()}
     ids = [r[0] for r in rows]
     assert got == {(a, b) for a in ids for b in ids if a < b and a // 20 == b // 20}
+
+
+def test_names_beyond_the_shelters(spark):
+    pairs = [("Smith, Jonathan", "Jonathan Smith"), ("Jenny Clarkson", "Jennifer Clarkson"), ("Jon Walters Plumbing", "John Walters Plumbing"), ("Acme Insurance", "Acme Ins."), ("University Hospital", "Univ. Hosp."), ("J. Bartholomew", "Jonathan Bartholomew"), ("Family Food Bar", "Family Food Bar")]
+    rows = [(10 * i + k, n, None, None, None) for i, p in enumerate(pairs) for k, n in enumerate(p)]
+    assert {tuple(r) for r in same_name(spark.createDataFrame(rows, SCHEMA)).collect()} == {(10 * i, 10 * i + 1) for i in range(len(pairs))}
