@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from cedarloom.functions.rows import once
 from cedarloom.functions.values import NULL_VALUES
 from cedarloom.io import cut
-from cedarloom.llm.names import distance, shard_keys
+from cedarloom.llm.names import distance, edits, shard_keys
 
 TYPES = {
     "avenue": ["avenue", "ave", "av", "aven"],
@@ -247,21 +247,6 @@ def _keyed(df: DataFrame, text: str) -> DataFrame:
     return df.mapInPandas(run, schema + ", form bigint")
 
 
-def _swapped(a: str, i: str) -> str:
-    return f"concat(left({a}, {i} - 1), substr({a}, {i} + 1, 1), substr({a}, {i}, 1), substr({a}, {i} + 2))"
-
-
-def edits(a: str, b: str) -> str:
-    """SQL: the edits between two texts, a swap of neighbours being one; null if more than two.
-    A swap is two edits of plain Levenshtein distance, so that two edits are four at most."""
-    lev = f"levenshtein({a}, {b}, 4)"
-    some = lambda t: f"exists(sequence(1, length({a}) - 1), i -> {t})"
-    one = _swapped(a, "i")
-    two = f"levenshtein({one}, {b}, 1) >= 0 or (length({a}) = length({b}) and levenshtein({one}, {b}, 2) = 2 and exists(sequence(1, length({a}) - 1), j -> {_swapped(one, 'j')} = {b}))"
-    return f"""case {lev} when -1 then null when 0 then 0 when 1 then 1 when 2 then case when length({a}) = length({b}) and {some(f"{one} = {b}")} then 1 else 2 end
-        else case when {some(two)} then 2 end end"""
-
-
 def followed(near: DataFrame, key: list[str], name: str) -> DataFrame:
     """(key, name, canon) with each canon followed to its end. Each step to a canon at least triples
     the count, so that chains are short; each round doubles what is followed."""

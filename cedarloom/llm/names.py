@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cedarloom.functions.rows import once
 from cedarloom.functions.values import NULL_VALUES
 from cedarloom.io import cut
 
@@ -288,6 +289,21 @@ def _pieces(text: str) -> np.ndarray:
     return np.array(out, dtype="uint64")
 
 
+def _swapped(a: str, i: str) -> str:
+    return f"concat(left({a}, {i} - 1), substr({a}, {i} + 1, 1), substr({a}, {i}, 1), substr({a}, {i} + 2))"
+
+
+def edits(a: str, b: str) -> str:
+    """SQL: the edits between two texts, a swap of neighbours being one; null if more than two.
+    A swap is two edits of plain Levenshtein distance, so that two edits are four at most."""
+    lev = f"levenshtein({a}, {b}, 4)"
+    some = lambda t: f"exists(sequence(1, length({a}) - 1), i -> {t})"
+    one = _swapped(a, "i")
+    two = f"levenshtein({one}, {b}, 1) >= 0 or (length({a}) = length({b}) and levenshtein({one}, {b}, 2) = 2 and exists(sequence(1, length({a}) - 1), j -> {_swapped(one, 'j')} = {b}))"
+    return f"""case {lev} when -1 then null when 0 then 0 when 1 then 1 when 2 then case when length({a}) = length({b}) and {some(f"{one} = {b}")} then 1 else 2 end
+        else case when {some(two)} then 2 end end"""
+
+
 def shard_keys(text: str) -> np.ndarray:
     """Keys of the shards of a text; two texts within two edits share one, whatever their lengths.
 
@@ -312,18 +328,18 @@ def trie_join(spellings: DataFrame, most: int = MOST, block: int = BLOCK) -> Dat
             yield pd.DataFrame({"text": b["text"], "keys": [shard_keys(t) for t in b["text"]]})
 
     keyed = written.select("text").distinct().mapInPandas(keys, "text string, keys array<bigint>").selectExpr("text", "explode(keys) as key")
-    at = keyed.withColumn("n", F.expr("count(*) over (partition by key)")).where("n > 1").withColumn("nb", F.expr(f"cast(ceil(n / {block}D) as int)")).withColumn("own", F.expr("cast(pmod(xxhash64(text), nb) as int)"))
-    at = at.withColumn("other", F.expr("explode(sequence(0, nb - 1))")).select("text", "key", F.expr("least(own, other) as lo"), F.expr("greatest(own, other) as hi"))
-    shards = at.repartition("key", "lo", "hi").groupBy("key", "lo", "hi").agg(F.expr("array_sort(collect_list(text)) as texts")).where("size(texts) > 1").select("texts").distinct()
+    at = keyed.withColumn("n", F.expr("count(*) over (partition by key)")).where("n > 1").withColumn("nb", F.expr(f"cast(ceil(n / {block}D) as int)"))
+    # most shards are whole where the window put them; large ones are dealt anew
+    shards = at.where("nb = 1").groupBy("key").agg(F.expr("array_sort(collect_list(text)) as texts")).select("texts")
+    large = at.where("nb > 1").withColumn("own", F.expr("cast(pmod(xxhash64(text), nb) as int)")).withColumn("other", F.expr("explode(sequence(0, nb - 1))"))
+    large = large.select("text", "key", F.expr("least(own, other) as lo"), F.expr("greatest(own, other) as hi")).repartition("key", "lo", "hi")
+    shards = shards.unionByName(large.groupBy("key", "lo", "hi").agg(F.expr("array_sort(collect_list(text)) as texts")).where("size(texts) > 1").select("texts"))
+    shards = cut(shards.distinct(), "shards")
 
     def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for texts in b["texts"]:
-                if len(texts) == 2:
-                    d = distance(*texts, most)
-                    out += [(*texts, d)] if d <= most else []
-                    continue
                 root: dict = {}
                 for text in texts:  # each against those before it
                     out += [(other, text, d) for other, d in neighbours(root, text, most)]
@@ -331,7 +347,10 @@ def trie_join(spellings: DataFrame, most: int = MOST, block: int = BLOCK) -> Dat
             if out:
                 yield pd.DataFrame(out, columns=["text_a", "text_b", "d"]).drop_duplicates()
 
-    close = shards.mapInPandas(traverse, "text_a string, text_b string, d int").distinct()
+    # two texts need no trie
+    two = once(shards.where("size(texts) = 2").selectExpr("texts[0] as text_a", "texts[1] as text_b"), d=edits("text_a", "text_b")).where(f"d <= {most}")
+    tries = shards.where("size(texts) > 2").mapInPandas(traverse, "text_a string, text_b string, d int")
+    close = tries.unionByName(two).distinct()
     close = close.unionByName(written.selectExpr("text as text_a", "text as text_b", "0 as d").distinct())
     pairs = close.join(written.selectExpr("text as text_a", "id as x"), "text_a").join(written.selectExpr("text as text_b", "id as y"), "text_b").where("x != y")
     return pairs.selectExpr("least(x, y) as id_a", "greatest(x, y) as id_b", "d").groupBy("id_a", "id_b").agg(F.min("d").alias("d"))
