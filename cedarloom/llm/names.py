@@ -328,13 +328,11 @@ def trie_join(spellings: DataFrame, most: int = MOST, block: int = BLOCK) -> Dat
             yield pd.DataFrame({"text": b["text"], "keys": [shard_keys(t) for t in b["text"]]})
 
     keyed = written.select("text").distinct().mapInPandas(keys, "text string, keys array<bigint>").selectExpr("text", "explode(keys) as key")
-    at = keyed.withColumn("n", F.expr("count(*) over (partition by key)")).where("n > 1").withColumn("nb", F.expr(f"cast(ceil(n / {block}D) as int)"))
-    # most shards are whole where the window put them; large ones are dealt anew
-    shards = at.where("nb = 1").groupBy("key").agg(F.expr("array_sort(collect_list(text)) as texts")).select("texts")
-    large = at.where("nb > 1").withColumn("own", F.expr("cast(pmod(xxhash64(text), nb) as int)")).withColumn("other", F.expr("explode(sequence(0, nb - 1))"))
-    large = large.select("text", "key", F.expr("least(own, other) as lo"), F.expr("greatest(own, other) as hi")).repartition("key", "lo", "hi")
-    shards = shards.unionByName(large.groupBy("key", "lo", "hi").agg(F.expr("array_sort(collect_list(text)) as texts")).where("size(texts) > 1").select("texts"))
-    shards = cut(shards.distinct(), "shards")
+    # what stands alone in its shard, most of it, goes no further
+    at = cut(keyed.withColumn("n", F.expr("count(*) over (partition by key)")).where("n > 1").withColumn("nb", F.expr(f"cast(ceil(n / {block}D) as int)")), "shared")
+    at = at.withColumn("own", F.expr("cast(pmod(xxhash64(text), nb) as int)")).withColumn("other", F.expr("explode(sequence(0, nb - 1))"))
+    at = at.select("text", "key", F.expr("least(own, other) as lo"), F.expr("greatest(own, other) as hi")).repartition("key", "lo", "hi")
+    shards = cut(at.groupBy("key", "lo", "hi").agg(F.expr("array_sort(collect_list(text)) as texts")).where("size(texts) > 1").select("texts").distinct(), "shards")
 
     def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
