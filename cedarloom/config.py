@@ -66,4 +66,14 @@ def make_folders(base: str) -> None:
         os.makedirs(os.path.join(base, k), exist_ok=True)
 
 
-__all__ = ["Config", "config", "discovered", "make_folders", "mappings", "parse_pairs", "paths", "target_name"]
+@lru_cache
+def store(layer: str, path: str | None = None):
+    """The one store of a layer (bronze, silver, gold) below the warehouse, or at another path."""
+    from cedarloom.operators.stores import Store
+
+    key, dataset = {"bronze": ("_raw_id", "_dataset_id"), "silver": ("_unique_id", "dataset_id"), "gold": ("_unique_id", "dataset_id")}[layer]
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    return Store(spark, path or os.path.join(config().warehouse, layer), key, dataset)
+
+
+__all__ = ["Config", "config", "discovered", "make_folders", "mappings", "parse_pairs", "paths", "store", "target_name"]

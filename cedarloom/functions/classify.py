@@ -10,25 +10,28 @@ def _any(text: str, words: list[str]) -> str:
     return "(" + " or ".join(f"contains({text}, '{w}')" for w in words) + ")"
 
 
-def _explicit(c: str, i: int) -> str:
-    return f"case {c} " + " ".join(f"when '{k}' then '{v[i]}'" for k, v in DATASET_ISSUES.items()) + " end"
+def _explicit(c: str, i: int, known: dict) -> str:
+    return f"case {c} " + " ".join(f"when '{k}' then '{v[i]}'" for k, v in known.items()) + " end" if known else "null"
 
 
-def primary_issue(dataset: str, title: str = "''", default: str | None = None) -> str:
+def primary_issue(dataset: str, title: str = "''", default: str | None = None, taxonomy: dict = TAXONOMY, known: dict = DATASET_ISSUES) -> str:
+    """The issue of a dataset: as it is known, else by the first words of the taxonomy that its name and
+    title hold. taxonomy: issue to (words, {subcategory: words}); known: dataset to (issue, secondary
+    issues, subcategory). Both may be others than the project's own."""
     text = f"lower(concat({dataset}, ' ', coalesce({title}, '')))"
-    words = " ".join(f"when {_any(text, kw)} then '{issue}'" for issue, (kw, _) in TAXONOMY.items())
+    words = " ".join(f"when {_any(text, kw)} then '{issue}'" for issue, (kw, _) in taxonomy.items())
     rest = f"'{default}'" if default else "null"
-    return f"coalesce({_explicit(dataset, 0)}, case {words} end, {rest})"
+    return f"coalesce({_explicit(dataset, 0, known)}, case {words} end, {rest})"
 
 
-def subcategory(dataset: str, issue: str, default: str | None = None) -> str:
+def subcategory(dataset: str, issue: str, default: str | None = None, taxonomy: dict = TAXONOMY, known: dict = DATASET_ISSUES) -> str:
     """Words are compared as they are written, so that those with capitals never match."""
     chains = []
-    for i, (_, subs) in TAXONOMY.items():
+    for i, (_, subs) in taxonomy.items():
         if subs:
             chains.append(f"when {issue} = '{i}' then case " + " ".join(f"when {_any(f'lower({dataset})', kw)} then '{s}'" for s, kw in subs.items()) + " end")
     rest = f"'{default}'" if default else "null"
-    return f"coalesce({_explicit(dataset, 2)}, case {' '.join(chains)} end, {rest})"
+    return f"coalesce({_explicit(dataset, 2, known)}, {'case ' + ' '.join(chains) + ' end' if chains else 'null'}, {rest})"
 
 
 def secondary_issues(dataset: str) -> str:

@@ -31,6 +31,16 @@ def silver_name(name: str) -> str | None:
     return None if name.startswith("_") else FIELD_NAMES.get(name, snake(name))
 
 
+def add_field_name(name: str, target: str) -> None:
+    """Another spelling of a field, for all plans made from now on."""
+    FIELD_NAMES[name] = target
+
+
+def all_field_names() -> dict[str, str]:
+    """Every known spelling and the field it stands for."""
+    return dict(FIELD_NAMES)
+
+
 def column_name(name: str) -> str:
     """Headers of files: a whole number loses its .0, signs become underscores."""
     s = str(name).strip()

@@ -96,3 +96,20 @@ def test_registered_queries_have_names_in_both():
     import __spark_entry__ as E
 
     assert set(E.oracle_sql()) <= set(E.queries()) and "flagship" in E.queries()
+
+
+def test_rules_may_be_others(spark, tmp_path):
+    from cedarloom.config import store
+    from cedarloom.functions import classify as C
+
+    own, known = {"sport": (["rink"], {"ice": ["rink"]})}, {"a": ("play", [], "toys")}
+    df = spark.createDataFrame([("a",), ("city-rink",), ("x",)], "d string")
+    got = df.selectExpr(C.primary_issue("d", default="none", taxonomy=own, known=known) + " as i", C.subcategory("d", "'sport'", "none", own, known) + " as s").collect()
+    assert [tuple(r) for r in got] == [("play", "toys"), ("sport", "ice"), ("none", "none")]
+    N.add_field_name("Strasse", "street_name")
+    assert N.silver_name("Strasse") == "street_name" and "Strasse" in N.all_field_names()
+    assert store("gold", str(tmp_path / "g")) is store("gold", str(tmp_path / "g"))
+
+
+def test_search_names_keep_their_case():
+    assert [N.search_name(n) for n in ("CRIME TYPE", "FooBar", "A.B (c)+", "TOTAL_UNITS", "Total_Units", "Street_No.")] == ["CRIME_TYPE", "FooBar", "AB_c_plus_", "total_units", "total_units", "street_no"]
