@@ -253,7 +253,8 @@ def followed(near: DataFrame, key: list[str], name: str) -> DataFrame:
     at = cut(near.select(*key, name, "canon"), "canon")
     while True:
         far = at.select(*key, F.col(name).alias("canon"), F.col("canon").alias("far"))
-        nxt = cut(at.join(far, [*key, "canon"], "left").selectExpr(*key, name, "coalesce(far, canon) as canon", "far is not null as moved"), "canon")
+        hop = lambda df: df.join(far, [*key, "canon"], "left").selectExpr(*key, name, "coalesce(far, canon) as canon", "far is not null as moved")  # noqa: B023, E731
+        nxt = cut(hop(hop(at).drop("moved")), "canon")
         at = nxt.drop("moved")
         if nxt.where("moved").isEmpty():
             return at
@@ -285,7 +286,7 @@ def parsed(premises: DataFrame) -> DataFrame:
     at = cut(prepared(premises), "prepared")
     places = cut(localities(at), "localities")
     words = at.selectExpr("premise_id", "typos", "explode(words) as word")
-    exact = cut(words.join(places.withColumnRenamed("city", "word"), "word").select("premise_id", "word", "canon", F.lit(True).alias("exact")), "named")
+    exact = words.join(places.withColumnRenamed("city", "word"), "word").select("premise_id", "word", "canon", F.lit(True).alias("exact"))
     typos = cut(at.where("size(typos) > 0").join(exact.select("premise_id").distinct(), "premise_id", "left_anti").selectExpr("premise_id", "explode(typos) as word"), "typos")
     form = _keyed(typos.select("word").distinct(), "word").join(_keyed(places.selectExpr("canon").distinct(), "canon"), "form").where("word != canon")
     form = once(form.drop("form").distinct(), d=edits("word", "canon")).where("d <= case when length(word) > 6 then 2 when length(word) > 3 then 1 end")
@@ -379,19 +380,20 @@ def resolved(parts: DataFrame) -> DataFrame:
     town = fsa.groupBy("fsa").agg(F.max(F.struct("n", "city")).alias("m"), F.sum("n").alias("all")).where("m.n >= 0.8 * all").selectExpr("fsa", "m.city as fsa_city")
     at = parts.withColumn("fsa", F.expr("left(postal, 3)")).join(F.broadcast(town), "fsa", "left")
     at = at.withColumn("city", F.expr("case when city = '' then coalesce(fsa_city, '') else city end")).drop("fsa", "fsa_city")
-    at = cut(at, "parsed")
 
     names = at.groupBy("city", "name").agg(F.count("*").alias("n"))
-    canon = _spellings(names.where("city != ''"))
-    # a name without a city is what it is in some city, or else near one that is
-    known = names.where("city != ''").join(canon, ["city", "name"], "left").selectExpr("name", "coalesce(canon, name) as canon", "n")
-    known = cut(known.groupBy("name", "canon").agg(F.sum("n").alias("n")).groupBy("name").agg(F.max(F.struct("n", "canon")).alias("m")).selectExpr("name", "m.canon as canon", "m.n as n"), "known")
-    lone = names.where("city = ''").select("name", "n")
-    other = lone.join(known.select("name"), "name", "left_anti")
-    often = known.groupBy("canon").agg(F.sum("n").alias("n")).where("n >= 3").selectExpr("'' as city", "canon as name", "n")
-    far = _spellings(often.unionByName(other.selectExpr("'' as city", "name", "n")).groupBy("city", "name").agg(F.sum("n").alias("n")))
-    far = far.join(other.select("name").distinct(), "name", "left_semi")
-    canon = canon.unionByName(lone.join(known, "name").selectExpr("'' as city", "name", "canon")).unionByName(far.select("city", "name", "canon"))
+    # a name without a city is what it is in some city, or else near one that is frequent anywhere
+    homed, lone = names.where("city != ''"), names.where("city = ''")
+    other = lone.join(homed.select("name"), "name", "left_anti")
+    often = homed.groupBy("name").agg(F.sum("n").alias("n")).where("n >= 3")
+    canon = _spellings(homed.select("city", "name", "n").unionByName(often.selectExpr("'' as city", "name", "n")).unionByName(other.select("city", "name", "n")))
+    known = homed.join(canon, ["city", "name"], "left").selectExpr("name", "coalesce(canon, name) as canon", "n").groupBy("name", "canon").agg(F.sum("n").alias("n"))
+    known = known.groupBy("name").agg(F.max(F.struct("n", "canon")).alias("m")).selectExpr("name", "m.canon as known")
+    far = lone.select("name").join(canon.where("city = ''").select("name", "canon"), "name", "left")
+    far = far.withColumn("near", F.expr("coalesce(canon, name)")).drop("canon").join(known.withColumnRenamed("name", "near"), "near", "left")
+    own = known.select("name", F.col("known").alias("own"))
+    far = far.join(own, "name", "left").selectExpr("'' as city", "name", "coalesce(own, known, near) as canon")
+    canon = canon.where("city != ''").select("city", "name", "canon").unionByName(far)
     at = at.join(canon, ["city", "name"], "left")
     at = at.withColumn("street", F.expr("concat_ws(' ', case when prefix != '' then prefix end, coalesce(canon, name))")).drop("canon", "name", "prefix")
     sig = ["num", "street", "city", "kind", "dir", "postal"]

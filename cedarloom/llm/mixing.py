@@ -84,7 +84,7 @@ def mixed(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None
     # running sum of the rates along size: over the bands and parts, then within each; in decimals,
     # so that it doesn't depend on the order of the additions
     at = at.withColumn("block", F.expr("part div 1000"))
-    cells = cut(at.groupBy("source", "band", "block", "part").agg(F.sum("rate").alias("s")), "cells")
+    cells = at.groupBy("source", "band", "block", "part").agg(F.sum("rate").alias("s"))
     # sums before each band, each block of a band, each part of a block: no window holds more than
     # the bands, the blocks of one band, or a thousand parts
     blocks = cells.groupBy("source", "band", "block").agg(F.sum("s").alias("s"))
@@ -98,7 +98,7 @@ def mixed(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None
     return _evened(run, rates).where("copies > 0").select("doc_id", "source", "n_tokens", "rate", "copies")
 
 
-def _evened(run: DataFrame, rates: DataFrame, rounds: int = 3) -> DataFrame:
+def _evened(run: DataFrame, rates: DataFrame, rounds: int = 2) -> DataFrame:
     """The rounded copies, with the tokens a source is short of (or over by) made up by one copy more
     (or less) of the document nearest to them in size; repeated while that brings it nearer. upto is
     the place of a row in its source."""
@@ -106,10 +106,11 @@ def _evened(run: DataFrame, rates: DataFrame, rounds: int = 3) -> DataFrame:
         gap = run.groupBy("source").agg(F.sum(F.expr("n_tokens * copies")).alias("got")).join(rates.select("source", "goal"), "source").selectExpr("source", "goal - got as gap")
         own = run.join(F.broadcast(gap), "source").where("case when gap > 0 then copies < cap and rate > 0 else copies > 0 end")
         near = own.where("abs(n_tokens - abs(gap)) < abs(gap)").groupBy("source").agg(F.min(F.struct(F.expr("abs(n_tokens - abs(gap))"), "doc_id", "upto", F.expr("cast(sign(gap) as int) as step"))).alias("m"))
-        near = cut(near.selectExpr("source", "m.doc_id as doc_id", "m.upto as upto", "m.step as step"), "evened")  # a row a source of the targets
-        if near.isEmpty():
+        near = near.selectExpr("source", "m.doc_id as doc_id", "m.upto as upto", "m.step as step")
+        rows = near.collect()  # a row a source of the targets
+        if not rows:
             break
-        run = run.join(F.broadcast(near), ["source", "doc_id", "upto"], "left").withColumn("copies", F.expr("copies + coalesce(step, 0)")).drop("step")
+        run = run.join(F.broadcast(run.sparkSession.createDataFrame(rows, near.schema)), ["source", "doc_id", "upto"], "left").withColumn("copies", F.expr("copies + coalesce(step, 0)")).drop("step")
     return run
 
 
