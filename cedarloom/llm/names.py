@@ -323,16 +323,26 @@ def trie_join(spellings: DataFrame, most: int = MOST, block: int = BLOCK) -> Dat
     task gets more than two blocks and no pair is lost. Shards of the same texts are one."""
     written = spellings.selectExpr("id", "explode(array_distinct(array(concat(first, second), concat(second, first)))) as text")
 
+    texts = cut(written.select("text").distinct().withColumn("tid", F.monotonically_increasing_id()), "texts")
+
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"text": b["text"], "keys": [shard_keys(t) for t in b["text"]]})
-
-    keyed = written.select("text").distinct().mapInPandas(keys, "text string, keys array<bigint>").selectExpr("text", "explode(keys) as key")
-    # what stands alone in its shard, most of it, goes no further
-    at = cut(keyed.withColumn("n", F.expr("count(*) over (partition by key)")).where("n > 1").withColumn("nb", F.expr(f"cast(ceil(n / {block}D) as int)")), "shared")
+            for i in range(0, len(b), 1000):
+                part = b.iloc[i : i + 1000]
+                own = [shard_keys(t) for t in part["text"]]
+                yield pd.DataFrame({"tid": np.repeat(part["tid"].to_numpy(), [len(k) for k in own]), "key": np.concatenate(own)})
+
+    # numbers only, counted by hash: what stands alone in its shard, most of it, goes no further, and
+    # a shard of two is its least and its greatest
+    keyed = texts.mapInPandas(keys, "tid bigint, key bigint").repartition("key")
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("tid").alias("lo"), F.max("tid").alias("hi")).where("n > 1")
+    two = sizes.where("n = 2").select("lo", "hi").distinct()
+    two = two.join(texts.selectExpr("tid as lo", "text as text_a"), "lo").join(texts.selectExpr("tid as hi", "text as text_b"), "hi").select("text_a", "text_b")
+    at = keyed.join(sizes.where("n > 2").selectExpr("key", f"cast(ceil(n / {block}D) as int) as nb").hint("shuffle_hash"), "key")
+    at = cut(at.join(texts, "tid").select("text", "key", "nb"), "shared")
     at = at.withColumn("own", F.expr("cast(pmod(xxhash64(text), nb) as int)")).withColumn("other", F.expr("explode(sequence(0, nb - 1))"))
     at = at.select("text", "key", F.expr("least(own, other) as lo"), F.expr("greatest(own, other) as hi")).repartition("key", "lo", "hi")
-    shards = cut(at.groupBy("key", "lo", "hi").agg(F.expr("array_sort(collect_list(text)) as texts")).where("size(texts) > 1").select("texts").distinct(), "shards")
+    shards = at.groupBy("key", "lo", "hi").agg(F.expr("array_sort(collect_list(text)) as texts")).where("size(texts) > 1").select("texts").distinct()
 
     def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -346,8 +356,8 @@ def trie_join(spellings: DataFrame, most: int = MOST, block: int = BLOCK) -> Dat
                 yield pd.DataFrame(out, columns=["text_a", "text_b", "d"]).drop_duplicates()
 
     # two texts need no trie
-    two = once(shards.where("size(texts) = 2").selectExpr("texts[0] as text_a", "texts[1] as text_b"), d=edits("text_a", "text_b")).where(f"d <= {most}")
-    tries = shards.where("size(texts) > 2").mapInPandas(traverse, "text_a string, text_b string, d int")
+    two = once(two, d=edits("text_a", "text_b")).where(f"d <= {most}")
+    tries = shards.mapInPandas(traverse, "text_a string, text_b string, d int")
     close = tries.unionByName(two).distinct()
     close = close.unionByName(written.selectExpr("text as text_a", "text as text_b", "0 as d").distinct())
     pairs = close.join(written.selectExpr("text as text_a", "id as x"), "text_a").join(written.selectExpr("text as text_b", "id as y"), "text_b").where("x != y")
