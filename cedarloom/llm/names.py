@@ -398,13 +398,20 @@ def entities(operators: DataFrame) -> DataFrame:
 
     # initials: the one person of that surname or one near it and that initial, the likeliest by city,
     # trade, middle initial and spelling
-    people = canon.where("sort = 'p'").groupBy("first", "second", "root").agg(F.collect_set("city").alias("cities"), F.collect_set("kind").alias("trades"), F.collect_set("extra").alias("middles"), F.count("*").alias("n"))
+    # each combination of what may agree has its best person kept by an aggregate, so that common
+    # surnames pair nothing and collect nothing
     named = lambda df: df.withColumn("id", F.expr("xxhash64('i', first, left(second, 1))")).join(root.withColumnRenamed("root", "surname"), "id")
-    people = named(people).selectExpr("surname", "first as full", "root", "cities", "trades", "middles", "n")
-    short = named(at.where("sort = 'p' and length(second) = 1")).join(people, "surname", "left")
-    score = """struct(case when city != '' and array_contains(cities, city) then 2 else 0 end + case when kind != '' and array_contains(trades, kind) then 2 else 0 end
-        + case when extra != '' and array_contains(middles, extra) then 2 else 0 end + case when first = full then 1 else 0 end as s, n, root)"""
-    short = short.groupBy("operator_id", "surname").agg(F.max(F.expr(f"case when root is not null then {score} end")).alias("m"))
+    part = ["first", "city", "kind", "extra"]
+    some = "explode(array_distinct(transform(sequence(0, 15), i -> struct(" + ", ".join(f"case when i div {2**k} % 2 = 1 then {c} else '' end as {c}" for k, c in enumerate(part)) + ")))) as k"
+    people = named(canon.where("sort = 'p'")).groupBy("surname", "root", *part).agg(F.count("*").alias("n"))
+    people = people.selectExpr("surname", "root", "n", some).selectExpr("surname", "root", "n", *[f"k.{c} as {c}" for c in part])
+    people = people.groupBy("surname", *part, "root").agg(F.sum("n").alias("n")).groupBy("surname", *part).agg(F.max(F.struct("n", "root")).alias("m"))
+    short = named(at.where("sort = 'p' and length(second) = 1")).select("operator_id", "surname", *part)
+    worth = " + ".join(f"case when k.{c} != '' then {1 if c == 'first' else 2} else 0 end" for c in part)
+    asked = short.select("surname", *part).distinct()
+    asked = asked.selectExpr("surname", *[f"{c} as own_{c}" for c in part], some).selectExpr("surname", *[f"own_{c}" for c in part], *[f"k.{c} as {c}" for c in part], f"{worth} as s")
+    found = asked.join(people, ["surname", *part]).groupBy("surname", *[f"own_{c}" for c in part]).agg(F.max(F.struct("s", "m.n", "m.root")).alias("m"))
+    short = short.join(found.withColumnsRenamed({f"own_{c}": c for c in part}), ["surname", *part], "left")
     short = short.selectExpr("operator_id", "case when m is null then concat('i|', surname) else concat('p|', m.root) end as entity")
     return canon.selectExpr("operator_id", "concat(sort, '|', root, '|', qualifier) as entity").withColumn("entity", F.expr("case when entity like 'p|%' then regexp_replace(entity, '[|]$', '') else entity end")).unionByName(short)
 
