@@ -149,9 +149,16 @@ def flatten_features(records: DataFrame) -> DataFrame:
 
 
 def read_enriched(spark: SparkSession, path: str) -> DataFrame:
-    """(source_file, dataset_id, position, record): files of the form {"_metadata", "records"}."""
-    docs = spark.read.text(path, wholetext=True).selectExpr("_metadata.file_name as source_file", "try_parse_json(value) as doc")
-    return docs.selectExpr("source_file", "try_variant_get(doc, '$._metadata.dataset_id', 'string') as dataset_id", f"posexplode({record_list('doc')}) as (position, record)")
+    """(source_file, dataset_id, position, record): files of the form {"_metadata", "records"}. The list
+    is a column of its own, so that a record carries no copy of its document. A document beyond the size
+    of a variant (128 MiB) is read as a list of variants, one a record."""
+    keys = ["features", *LIST_KEYS]
+    wide = f"from_json(value, '_metadata struct<dataset_id string>, {', '.join(f'{k} array<variant>' for k in keys)}')"
+    docs = spark.read.text(path, wholetext=True).selectExpr("_metadata.file_name as source_file", "value", "try_parse_json(value) as doc")
+    docs = docs.selectExpr("source_file", "doc", "case when doc is null and ltrim(value) like '[%' then from_json(value, 'array<variant>') end as list", f"case when doc is null and ltrim(value) like '{{%' then {wide} end as wide")
+    whole = f"case when doc is not null then {record_list('doc')} else coalesce(list, {', '.join(f'wide.{k}' for k in keys)}) end"
+    lists = docs.selectExpr("source_file", "coalesce(try_variant_get(doc, '$._metadata.dataset_id', 'string'), wide._metadata.dataset_id) as dataset_id", f"{whole} as records")
+    return lists.selectExpr("source_file", "dataset_id", "posexplode(records) as (position, record)")
 
 
 def _xml(raw: bytes):

@@ -157,6 +157,7 @@ def index_enriched(records: DataFrame, target: Store) -> dict[str, int]:
     """Indexes what read_enriched gives (source_file, dataset_id, position, record): documents with
     positional ids, dataset:position; {indexed, failed, files}."""
     at = records.selectExpr("concat(coalesce(dataset_id, 'unknown'), ':', position) as _unique_id", "coalesce(dataset_id, 'unknown') as dataset_id", "source_file", "case when schema_of_variant(record) like 'OBJECT%' then to_json(record) end as record")
+    at = cut(at, "enriched")  # a document is parsed in one task, and once
     good = at.where("record is not null")
     got = target.upsert(good, [F.col("source_file").desc()])
     whole = at.agg(F.count_if(F.expr("record is null")).alias("bad"), F.count_distinct("source_file").alias("files")).first()

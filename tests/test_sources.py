@@ -1,13 +1,16 @@
 import json
 import struct
 import threading
+import time
 import zipfile
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
 
 from cedarloom.operators import infer
+from cedarloom.operators.stores import Store
 from cedarloom.sources import catalogue, feeds, files, shapes, sheets
+from cedarloom.streaming.sync import index_enriched
 
 
 def test_csv_encodings(spark, tmp_path):
@@ -208,3 +211,21 @@ def test_malformed_xml_spoils_nothing_else(spark, tmp_path):
     (tmp_path / "b.xml").write_text("<r><i><n>broken</i></r>")
     (tmp_path / "c.xml").write_text("<r><i><n>C</n></i></r>")
     assert sorted(r["fields"]["n"] for r in F.read_xml(spark, str(tmp_path)).collect()) == ["A & B", "C"]
+
+
+def test_records_of_a_published_file_carry_no_copy_of_it(spark, tmp_path):
+    doc = {"_metadata": {"dataset_id": "d"}, "records": [{"n": i, "t": "x" * 60} for i in range(60_000)] + [5]}
+    (tmp_path / "d.json").write_text(json.dumps(doc))
+    began = time.time()
+    store = Store(spark, str(tmp_path / "g"), "_unique_id")
+    assert index_enriched(files.read_enriched(spark, str(tmp_path / "d.json")), store) == {"indexed": 60_000, "failed": 1, "files": 1}
+    assert time.time() - began < 60
+    assert store.read().where("_unique_id = 'd:59999'").selectExpr("get_json_object(record, '$.n') as n").first()[0] == "59999"
+
+
+def test_a_published_file_beyond_the_size_of_a_variant_is_read(spark, tmp_path):
+    n = 70_000
+    with open(tmp_path / "d.json", "w") as f:
+        f.write('{"_metadata": {"dataset_id": "d"}, "records": [' + ",".join(json.dumps({"n": i, "t": "x" * 2_000}) for i in range(n)) + "]}")
+    got = files.read_enriched(spark, str(tmp_path / "d.json")).selectExpr("dataset_id", "position", "try_variant_get(record, '$.n', 'int') as n")
+    assert tuple(got.selectExpr("count(*)", "count_if(n = position)", "min(dataset_id)").first()) == (n, n, "d")
