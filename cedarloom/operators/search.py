@@ -8,6 +8,7 @@ terms. Scores are exact BM25 over the whole corpus, k1 = 1.2, b = 0.75.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -29,22 +30,41 @@ def tokens(c: str, stop: bool = True) -> str:
     return rf"filter(split(lower({c}), r'[^\p{{L}}\p{{N}}]+'), t -> t != ''{keep})"
 
 
-def _stemmed(df: DataFrame) -> DataFrame:
-    @F.pandas_udf("string")
-    def cut(words: pd.Series) -> pd.Series:
-        return words.map(stem)
+def _stemmed(words: DataFrame) -> DataFrame:
+    """(word, tok) of distinct words. Not a function of a column: the optimizer would push conditions on
+    the stem below the distinct, and stem every occurrence."""
 
-    return df.withColumn("tok", cut("tok"))
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(tok=b["word"].map(stem))
+
+    return words.mapInPandas(each, "word string, tok string")
 
 
 @dataclass
 class Index:
+    """With stemming, an index that is not written has its words (word, tok) and their occurrences
+    (field, doc_id, len, word), so that a query gathers the postings of its own terms only."""
+
     postings: DataFrame
     lengths: DataFrame
     vocab: DataFrame
     corpus: DataFrame
     stemmed: bool = False
     buckets: int | None = None
+    words: DataFrame | None = None
+    occurrences: DataFrame | None = None
+
+    def of(self, hit: str) -> tuple[DataFrame, DataFrame]:
+        """Postings and vocabulary of the terms for which `hit` (SQL over tok) holds."""
+        if self.words is None:
+            return self.postings.where(hit), self.vocab.where(hit)
+        own = self.occurrences.join(F.broadcast(self.words.where(hit)), "word").groupBy("field", "tok", "doc_id", "len").agg(F.count("*").alias("tf"))
+        return own, _vocabulary(own)
+
+
+def _vocabulary(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("field", "tok").agg(F.count("*").alias("df"))
 
 
 def save_index(index: Index, path: str, buckets: int = 64) -> None:
@@ -68,15 +88,17 @@ def build_index(docs: DataFrame, key: str, fields: list[str], stop: bool = True,
     """Tables over (key, field): tokens, lengths, document frequencies, and counts of documents that
     have the field. Stemming is done once for each distinct word, not for each occurrence."""
     words = ", ".join(f"struct('{f}' as field, {tokens(f'`{f}`', stop)} as toks)" for f in fields)
-    each = docs.selectExpr(f"`{key}` as doc_id", f"explode(array({words})) as w").where("size(w.toks) > 0")
-    lengths = each.selectExpr("w.field as field", "doc_id", "size(w.toks) as len")
-    occ = each.selectExpr("doc_id", "w.field as field", "explode(w.toks) as tok").groupBy("field", "tok", "doc_id").agg(F.count("*").alias("tf"))
-    if stemming:
-        stems = _stemmed(occ.select("tok").distinct().withColumn("word", F.col("tok")))
-        occ = occ.withColumnRenamed("tok", "word").join(stems, "word").groupBy("field", "tok", "doc_id").agg(F.sum("tf").alias("tf"))
-    vocab = occ.groupBy("field", "tok").agg(F.count("*").alias("df"))
+    # the tokens are a column of their own, so that none of them carries the others
+    each = docs.selectExpr(f"`{key}` as doc_id", f"inline(array({words}))").where("size(toks) > 0")
+    lengths = each.selectExpr("field", "doc_id", "size(toks) as len")
     corpus = lengths.groupBy("field").agg(F.count("*").alias("n"), F.avg("len").alias("avgdl"))
-    return Index(occ, lengths, vocab, corpus, stemming)
+    if not stemming:
+        postings = each.selectExpr("doc_id", "field", "explode(toks) as tok").groupBy("field", "tok", "doc_id").agg(F.count("*").alias("tf"))
+        return Index(postings, lengths, _vocabulary(postings), corpus)
+    occ = each.selectExpr("doc_id", "field", "size(toks) as len", "explode(toks) as word")
+    stems = _stemmed(occ.select("word").distinct())
+    postings = occ.groupBy("field", "word", "doc_id").agg(F.count("*").alias("tf")).join(stems, "word").groupBy("field", "tok", "doc_id").agg(F.sum("tf").alias("tf"))
+    return Index(postings, lengths, _vocabulary(postings), corpus, True, words=stems, occurrences=occ)
 
 
 def analyse(text: str, stop: bool = True, stemming: bool = False) -> list[str]:
@@ -99,26 +121,29 @@ def near(c: str, term: str, most: int) -> str:
     return "(" + " or ".join(parts) + ")"
 
 
+def _hit(terms: list[str], fuzzy: bool) -> str:
+    return " or ".join(near("tok", t, edits_allowed(t)) if fuzzy and edits_allowed(t) else f"tok = {lit(t)}" for t in terms) or "false"
+
+
 def expanded(index: Index, terms: list[str], fuzzy: bool) -> DataFrame:
     """(field, tok, df) of the vocabulary that the terms reach; with fuzzy, within 0, 1 or 2 edits by
     the length of the term. The terms are few; the vocabulary is scanned, not joined."""
-    hit = " or ".join(near("tok", t, edits_allowed(t)) if fuzzy and edits_allowed(t) else f"tok = {lit(t)}" for t in terms) or "false"
-    return index.vocab.where(hit).select("field", "tok", "df")
+    return index.of(_hit(terms, fuzzy))[1].select("field", "tok", "df")
 
 
 def scored(index: Index, terms: list[str], boosts: dict[str, float] | None = None, fuzzy: bool = False) -> DataFrame:
     """(doc_id, score): the best field's BM25, times its boost. No terms: no rows."""
     boosts = boosts or BOOSTS
     boost = "case field " + " ".join(f"when '{f}' then {b}D" for f, b in boosts.items()) + " else 1D end"
-    hits = index.postings
-    if not fuzzy:
-        hits = hits.where(f"tok in ({sql_list(terms)})" if terms else "false")
-        if index.buckets and terms:
-            own = hits.sparkSession.range(1).selectExpr(*[f"cast(pmod(xxhash64({lit(t)}), {index.buckets}) as int) as b{i}" for i, t in enumerate(terms)]).first()
-            hits = hits.where(f"bucket in ({', '.join(str(b) for b in set(own))})")
+    hits, vocab = index.of(_hit(terms, fuzzy))
+    if index.buckets and terms and not fuzzy:
+        own = hits.sparkSession.range(1).selectExpr(*[f"cast(pmod(xxhash64({lit(t)}), {index.buckets}) as int) as b{i}" for i, t in enumerate(terms)]).first()
+        hits = hits.where(f"bucket in ({', '.join(str(b) for b in set(own))})")
     if index.buckets:
         hits = hits.drop("bucket")
-    hits = hits.join(expanded(index, terms, fuzzy), ["field", "tok"]).join(index.lengths, ["field", "doc_id"]).join(F.broadcast(index.corpus), "field")
+    hits = hits.join(vocab.select("field", "tok", "df"), ["field", "tok"]).join(F.broadcast(index.corpus), "field")
+    if "len" not in hits.columns:
+        hits = hits.join(index.lengths, ["field", "doc_id"])
     score = f"ln(1 + (n - df + 0.5D) / (df + 0.5D)) * tf * ({K1} + 1) / (tf + {K1} * (1 - {B} + {B} * len / avgdl))"
     per_field = hits.groupBy("field", "doc_id").agg(F.sum(F.expr(score)).alias("s"))
     return per_field.groupBy("doc_id").agg(F.max(F.expr(f"s * {boost}")).alias("score"))

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -171,3 +172,17 @@ def test_swaps_are_one_edit(spark):
     df = spark.createDataFrame([(w,) for w in words], "w string")
     assert {r[0] for r in df.where(S.near("w", "kitchen", 1)).collect()} == {"kitchen", "kitchne", "kithcen"}
     assert {r[0] for r in df.where(S.near("w", "kitchen", 2)).collect()} == {"kitchen", "kitchne", "iktchne", "kithcen", "kitch", "ktchn", "xitchenx", "ikthcen"}
+
+
+def test_a_query_gathers_its_own_terms_only(spark):
+    """With stemming too: words of other stems are neither shuffled nor stemmed once an occurrence."""
+    d = spark.range(400).selectExpr("id", "concat(if(id % 40 = 0, 'broken handrails ', ''), array_join(transform(sequence(1, 300), i -> concat('word', (id * 7 + i) % 500)), ' ')) as text")
+    index = S.build_index(d, "id", ["text"], stemming=True)
+    assert index.of("tok = 'handrail'")[1].collect() == index.vocab.where("tok = 'handrail'").select("field", "tok", "df").collect() != []
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = lambda: {s.stageId(): s.shuffleWriteRecords() for s in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None))}
+    before = stages()
+    found = S.scored(index, S.analyse("broken handrail", stemming=True)).collect()
+    assert {r["doc_id"] for r in found} == set(range(0, 400, 40)) and len({round(r["score"], 9) for r in found}) == 1
+    time.sleep(2)
+    assert sum(n for k, n in stages().items() if k not in before) < 8_000  # 120,000 occurrences
