@@ -7,16 +7,16 @@ comes out must decode strictly; it must also be likelier as clean text than what
 The unit is a word that holds a character beyond ASCII (or a question mark between letters, which is
 what is left of characters an encoding did not have). The evidence of the words of a sentence is
 added up, each word once; a document is found if a sentence's evidence for one chain passes a threshold.
-How often the sample has a word, and what it would be restored to, bounds what it says.
+How often the corpus has a word, and what it would be restored to, bounds what it says.
 
-Training: the distinct texts of about `sample_docs` documents, taken by a hash of their key, are read
-for words; copies add nothing. Words that a chain turns into a likelier word of the sample are left
-out of the clean class. This sample is the only bounded step; every word of every document is then
+Training: all distinct texts are read for words; copies add nothing. Words that a chain turns into a
+likelier word of the corpus are left out of the clean class. Every word of every document is then
 judged by the classifier, over whole texts.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
@@ -35,9 +35,11 @@ BUCKETS = 1 << 14
 SMOOTH = 0.05
 THRESHOLD = 6.0
 PIECE = 200
-# whole words are hashed too; what one word can say against its being clean, where the sample has it
+# whole words are hashed too; what one word can say against its being clean, where the corpus has it
 WORDS, WHOLE = 1 << 20, 6.0
-SAMPLE_DOCS = 20_000
+# a clean word with an odd sign is garbled somewhere in a large corpus, and that may look like what it
+# would be restored to: what is so many times rarer makes no word suspect
+RARER = 10
 # Letters and signs of the corpus languages (en, fr, es, pt, de, pl).
 ALPHABET = frozenset("éèêëàâäçîïôöûüùÿœæñáíóúßãõąćęłńśźżÉÈÊËÀÂÄÇÎÏÔÖÛÜÙŒÆÑÁÍÓÚÃÕĄĆĘŁŃŚŹŻ¿¡«»„“”’‘–—…°§€£ºª ")
 # Chains of (encoding it was in, encoding it was read in), first to last.
@@ -60,6 +62,7 @@ LOSSY = ["cp1252", "latin-1", "ascii"]
 CLASSES = ["clean", *("+".join(f"{a}>{b}" for a, b in c) for c in CHAINS), *(f"{e}>lost" for e in LOSSY)]
 WORD = re.compile(r"[^ \n\t\r]*[^\x00-\x7f][^ \n\t\r]*|[^ \n\t\r]*\w\?\w[^ \n\t\r]*")
 LOST = re.compile(r"\w\?\w")
+GAP = re.compile(r"[ \n\t\r]+")
 SENTENCE = re.compile(r"(?<=[.!?]) +|[\n\r]+")
 
 
@@ -128,15 +131,22 @@ def bigrams(word: str) -> list[int]:
     return [zlib.crc32(raw[i : i + 2]) % BUCKETS for i in range(len(raw) - 1) if raw[i] > 127 or raw[i + 1] > 127 or raw[i] == 63 or raw[i + 1] == 63]
 
 
+def words_of(text: str) -> list[str]:
+    """What WORD finds, in time linear in the length of the words."""
+    if text.isascii() and "?" not in text:
+        return []
+    return [w for w in GAP.split(text) if not w.isascii() or "?" in w and LOST.search(w)]
+
+
 def _known(text: str) -> bool:
     return all(c in ALPHABET for c in text if ord(c) > 127)
 
 
 def _undone(word: str) -> list[tuple[str, bool]] | None:
-    """What the chains make of a word of the sample, and whether it is enough that the sample has
-    that at all, as the word has characters beyond the alphabets and what comes out has none; else
+    """What the chains make of a word of the corpus, and whether it is enough that the corpus has
+    that and not much more rarely, as the word has characters beyond the alphabets and what comes out has none; else
     it must be more frequent. A mere symbol is undone by chains through UTF-8 only. None: the word
-    is suspect whatever the sample has, since it has lost characters, or a chain through UTF-8
+    is suspect whatever the corpus has, since it has lost characters, or a chain through UTF-8
     restores it to the alphabets."""
     if "\ufffd" in word or LOST.search(word):
         return None
@@ -156,23 +166,24 @@ def bucket(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % WORDS
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray]:
+def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Log probabilities, a row a class, and the counts of clean words by bucket. docs: (doc_id,
-    text). The words of the sample are counted, judged and garbled on the executors, very long ones
-    in pieces; what comes to the driver is one count for each class and bucket."""
-    total = docs.count()
-    pick = docs if total <= sample_docs else docs.where(f"pmod(xxhash64(doc_id), 1000000) < {int(1_000_000 * sample_docs / total)}")
+    text). The words of all distinct texts are counted, judged and garbled on the executors, very long
+    ones in pieces; what comes to the driver is one count for each class and bucket. Equal texts are
+    told by their digests, so that only words are shuffled, not texts."""
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            seen: Counter = Counter()
+            rows = []
             for t in b["text"]:
-                if isinstance(t, str):
-                    seen.update(w[i : i + PIECE] for w in WORD.findall(t) for i in range(0, len(w), PIECE))
-            if seen:
-                yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+                if isinstance(t, str) and (found := words_of(t)):
+                    seen = Counter(w[i : i + PIECE] for w in found for i in range(0, len(w), PIECE))
+                    rows.append((hashlib.md5(t.encode("utf-8", "surrogatepass")).digest(), list(seen), list(seen.values())))
+            if rows:
+                yield pd.DataFrame(rows, columns=["digest", "words", "ns"])
 
-    every = cut(pick.select("text").distinct().mapInPandas(words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    texts = docs.select("text").mapInPandas(words, "digest binary, words array<string>, ns array<bigint>").dropDuplicates(["digest"])
+    every = cut(texts.selectExpr("inline(arrays_zip(words, ns)) as (word, n)").groupBy("word").agg(F.sum("n").alias("n")), "words")
 
     def undo(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -183,7 +194,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[np.ndarray,
             yield pd.DataFrame(rows, columns=["own", "own_n", "word", "enough"])
 
     undone = every.repartition(24).mapInPandas(undo, "own string, own_n bigint, word string, enough boolean")
-    suspect = undone.join(every, "word").where("own = word or enough or n > own_n").selectExpr("own as word").distinct()
+    suspect = undone.join(every, "word").where(f"own = word or enough and n * {RARER} >= own_n or n > own_n").selectExpr("own as word").distinct()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros((len(CLASSES), BUCKETS), dtype="int64")
@@ -247,13 +258,13 @@ class Judge:
 
     def sentences(self, text: str) -> Iterator[tuple[int, int, int]]:
         """(start, end, class) of the sentences that are garbled."""
-        if not any(self.word(w) for w in WORD.findall(text)):
+        if not any(self.word(w) for w in words_of(text)):
             return
         at = 0
         for gap in [*SENTENCE.finditer(text), None]:
             end = gap.start() if gap else len(text)
             sums: dict[int, float] = {}
-            for w in set(WORD.findall(text, at, end)):
+            for w in set(words_of(text[at:end])):
                 for k, gain, _ in self.word(w):
                     sums[k] = sums.get(k, 0) + gain
             if sums and max(sums.values()) >= self.threshold:
@@ -274,12 +285,12 @@ class Judge:
         return "".join([*parts, text[done:]]), sorted(set(chains)), whole
 
 
-def judged(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, threshold: float = THRESHOLD, texts: bool = False) -> DataFrame:
+def judged(docs: DataFrame, threshold: float = THRESHOLD, texts: bool = False) -> DataFrame:
     """(doc_id, chains, restorable[, restored]) of the documents (doc_id, text) that hold a garbled
     stretch. Null and empty texts hold none; an empty table gives an empty one. Equal texts are
     judged alike. The model (a row a chain, BUCKETS columns) is of fixed size and broadcast."""
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(train(docs, sample_docs))
+    model = spark.sparkContext.broadcast(train(docs))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Judge(*model.value, threshold)

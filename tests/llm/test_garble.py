@@ -4,7 +4,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cedarloom.llm.garble import CHAINS, SENTENCE, Judge, garble, invert, judged, lose, train
+from cedarloom.llm.garble import CHAINS, SENTENCE, WORD, Judge, bucket, garble, invert, judged, lose, train, words_of
 
 TEXTS = [
     "Le comité a discuté de l’été prochain à l’hôtel.", "La comisión aprobó la petición número 12 mañana.", "A inspeção encontrou água à noite, não é?",
@@ -72,3 +72,25 @@ def test_held_out_restoration(spark):
             n, found, right = n + 1, found + bool(chains), right + (back == s)
     print("sentences", n, "found", found, "restored exactly", right)
     assert n > 300 and found >= 0.98 * n and right >= 0.9 * n
+
+
+def test_all_texts_are_trained_on(spark):
+    """Every distinct text counts once, copies add nothing, however many documents there are."""
+    docs = spark.range(45_000).selectExpr("id as doc_id", "concat('La reunión de mañana número ', id) as text")
+    seen = train(docs.union(docs.where("doc_id < 500")))[1]
+    assert seen[bucket("mañana")] == seen[bucket("reunión")] == 45_000
+
+
+def test_a_clean_sign_garbled_once_elsewhere_stays_clean(spark):
+    """In cp850 read as cp1252 the clean name would be the garbled one of the other text."""
+    random.seed(6)
+    rows = [(i, " ".join(random.sample(TEXTS, 3)) + f" Bring KleenAir® {i}.") for i in range(400)]
+    bad = garble("Le comité a discuté à l'école de l'été prochain, avec KleenAir®.", (("cp1252", "cp850"),))
+    got = judged(spark.createDataFrame([*rows, (1000, bad)], "doc_id bigint, text string")).collect()
+    assert "KleenAir«" in bad and {r["doc_id"] for r in got} == {1000}
+
+
+@given(st.text(alphabet="ab?é \n\t\u00a0ß\x85", max_size=60))
+@settings(deadline=None, max_examples=300)
+def test_words_are_those_of_the_pattern(text):
+    assert words_of(text) == WORD.findall(text)
